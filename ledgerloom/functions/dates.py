@@ -28,4 +28,5 @@ def short_date(text: Column) -> Column:
 
 def month_start(text: Column) -> Column:
     """Month-year text (MM-yyyy) to the first day of that month."""
-    return F.to_date(F.concat(F.lit("01-"), text), "dd-MM-yyyy")
+    month, year = (F.substring_index(text, "-", side).cast("int") for side in (1, -1))
+    return F.make_date(year, month, F.lit(1))

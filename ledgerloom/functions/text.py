@@ -21,7 +21,7 @@ def present(text: Column) -> Column:
 
 def elements(text: Column) -> Column:
     """Comma list to an array of trimmed elements; NULL for an empty list."""
-    return F.transform(F.split(clean_token(text), ","), lambda part: F.trim(part))
+    return F.split(F.trim(clean_token(text)), r"\s*,\s*")
 
 
 def list_size(text: Column) -> Column:

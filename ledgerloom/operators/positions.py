@@ -13,51 +13,46 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import int_div
 
-# Copies written out per task when a counted row is expanded again.
+# Copies of one row that a task writes out at most.
 COPIES_PER_TASK = 100_000
 
 
+def _before(parent: list[str], by: list[str], amount: str) -> Column:
+    window = Window.partitionBy(*parent).orderBy(*by)
+    return F.coalesce(
+        F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+
+
 def count_before(
     df: DataFrame,
     keys: list[str],
-    levels: dict[str, Column],
+    levels: list[list[str]],
     order: list[str],
     weight: str,
     name: str,
 ) -> DataFrame:
     """Add `name`: sum of `weight` over the rows of the same keys that sort before.
 
-    `df` has one row per (keys, order). `levels` are nested coarse prefixes of the
-    ascending order, widest first; keys, levels and order columns are not NULL.
+    The order is ascending by the columns of all levels, widest first, then `order`;
+    no two rows agree on all of them. Keys and level columns are not NULL.
     """
-    blocks = list(levels)
-    leaf = keys + blocks
-    df = df.withColumns(levels)
-
-    def before(parent: list[str], by: list[str], amount: str) -> Column:
-        window = Window.partitionBy(*parent).orderBy(*by)
-        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(amount).over(earlier), F.lit(0))
-
-    placed = df.withColumn(name, before(leaf, order, weight))
+    leaf = keys + [c for level in levels for c in level]
+    placed = df.withColumn(name, _before(leaf, order, weight))
     sizes = df.groupBy(*leaf).agg(F.sum(weight).alias("_size"))
     offsets = None
-    for depth in range(len(blocks), 0, -1):
-        parent, block = keys + blocks[: depth - 1], blocks[depth - 1]
-        level = sizes.select(*parent, block, before(parent, [block], "_size").alias("_skip"))
+    for depth in range(len(levels), 0, -1):
+        parent = keys + [c for level in levels[: depth - 1] for c in level]
+        here = parent + levels[depth - 1]
+        skip = _before(parent, levels[depth - 1], "_size")
         if offsets is None:
-            offsets = level
+            offsets = sizes.select(*here, skip.alias("_skip"))
         else:
-            level = level.withColumnRenamed("_skip", "_outer")
-            offsets = offsets.join(level, parent + [block]).withColumn(
-                "_skip", F.col("_skip") + F.col("_outer")
-            ).drop("_outer")
+            outer = sizes.select(*here, skip.alias("_outer"))
+            summed = F.col("_skip") + F.col("_outer")
+            offsets = offsets.join(outer, here).withColumn("_skip", summed).drop("_outer")
         sizes = sizes.groupBy(*parent).agg(F.sum("_size").alias("_size"))
-    return (
-        placed.join(offsets, leaf)
-        .withColumn(name, F.col(name) + F.col("_skip"))
-        .drop("_skip", *blocks)
-    )
+    return placed.join(offsets, leaf).withColumn(name, F.col(name) + F.col("_skip")).drop("_skip")
 
 
 def number_rows(
@@ -67,21 +62,28 @@ def number_rows(
     order: list[str],
     name: str = "row_no",
 ) -> DataFrame:
-    """Add `name`: 1..n per key in the given order (row_number).
+    """Add `name`: 1..n per key (row_number) by the levels, then by `order`.
 
-    Rows that tie on `order` must be equal in all columns, so any order among
-    them gives the same result.
+    Levels are nested and never NULL, widest first. Rows that tie on levels and
+    order must be equal in all columns. A row with very many copies is laid out in
+    pieces, each a block of its own behind the other rows of the finest level, so
+    that several tasks write it.
     """
     columns = df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    placed = count_before(copies, keys, levels, order, "_n", "_start")
-    last_piece = int_div(F.col("_n") - 1, F.lit(COPIES_PER_TASK))
-    pieces = placed.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece)))
-    # A row with many copies is one counted row: spread its pieces before writing them out.
-    pieces = pieces.repartition(*columns, "_piece")
-    first = F.col("_start") + F.col("_piece") * COPIES_PER_TASK + 1
-    last = F.least(F.col("_start") + F.col("_n"), first + COPIES_PER_TASK - 1)
-    return pieces.select(*columns, F.explode(F.sequence(first, last)).alias(name))
+    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_all"))
+    pieces = F.sequence(F.lit(0), int_div(F.col("_all") - 1, F.lit(COPIES_PER_TASK)))
+    rest = F.col("_all") - F.col("_piece") * COPIES_PER_TASK
+    counted = (
+        copies.withColumns(levels)
+        .withColumn("_piece", F.explode(pieces))
+        .withColumn("_n", F.least(rest, F.lit(COPIES_PER_TASK)))
+        .drop("_all")
+    )
+    *wide, finest = [[level] for level in levels]
+    blocks = [*wide, [*finest, "_piece"]]
+    placed = count_before(counted, keys, blocks, order, "_n", "_start")
+    positions = F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_n"))
+    return placed.select(*columns, F.explode(positions).alias(name))
 
 
 def rank_values(
@@ -91,11 +93,8 @@ def rank_values(
 
     `width` is the value range of one block.
     """
-    counted = (
-        df.groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_down", -F.col(value))
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumns(
+        {"_down": -F.col(value), "_block": F.floor(-F.col(value) / width)}
     )
-    level = {"_block": F.floor(F.col("_down") / width)}
-    ranked = count_before(counted, keys, level, ["_down"], "_n", name)
+    ranked = count_before(counted, keys, [["_block"]], ["_down"], "_n", name)
     return ranked.select(*keys, value, (F.col(name) + 1).cast("int").alias(name))

@@ -19,8 +19,8 @@ from ..operators.topn import not_in, top_n
 from ..sources.sinks import append_rows
 
 CONTENT = ["pizza_id", "exclusions", "extras"]
-# Nested widths of the pizza blocks when the lines of an order are numbered.
-PIZZA_BLOCKS = (1_000_000, 1_000)
+# Blocks of pizzas when the lines of an order are numbered.
+PIZZA_BLOCKS = 4096
 # Prices and the pay per kilometre.
 PREMIUM_PRICE, PRICE = 12, 10
 PER_KM = "0.30"
@@ -223,11 +223,7 @@ def _cleaned(customer_orders: DataFrame) -> DataFrame:
 
 def clean_orders(customer_orders: DataFrame) -> DataFrame:
     """Null words to NULL, and a record id made of the order and the line's number in it."""
-    wide, narrow = PIZZA_BLOCKS
-    levels = {
-        "_wide": int_div(F.col("pizza_id"), F.lit(wide)),
-        "_narrow": int_div(F.col("pizza_id"), F.lit(narrow)),
-    }
+    levels = {"_block": F.pmod(F.col("pizza_id"), F.lit(PIZZA_BLOCKS))}
     order = ["pizza_id", "exclusions", "extras", "customer_id", "order_time"]
     numbered = number_rows(_cleaned(customer_orders), ["order_id"], levels, order, "seq")
     record = F.concat_ws("-", F.col("order_id").cast("string"), F.col("seq").cast("string"))
@@ -292,19 +288,19 @@ def order_description(
     customer_orders: DataFrame, pizza_names: DataFrame, pizza_toppings: DataFrame
 ) -> DataFrame:
     """'Name - Extra a, b - Exclude c' per record."""
-    lists = customer_orders.select("extras", "exclusions").distinct()
-    lists = _cleaned(lists)
+    lists = _cleaned(customer_orders.select("extras", "exclusions").distinct()).distinct()
     extra = _rendered(lists, "extras", "Extra ", pizza_toppings, "_extra")
     exclude = _rendered(lists, "exclusions", "Exclude ", pizza_toppings, "_exclude")
+    options = lists.join(extra, "extras", "left").join(exclude, "exclusions", "left")
+    # Equality joins drop NULL lists, so the pair is looked up with '' for them.
+    pair = {c: F.coalesce(c, F.lit("")) for c in ("extras", "exclusions")}
+    details = F.concat_ws(" - ", "pizza_name", "_extra", "_exclude").alias("order_details")
     return (
         clean_orders(customer_orders)
         .join(pizza_names, "pizza_id")
-        .join(extra, "extras", "left")
-        .join(exclude, "exclusions", "left")
-        .select(
-            "record_id",
-            F.concat_ws(" - ", "pizza_name", "_extra", "_exclude").alias("order_details"),
-        )
+        .withColumns(pair)
+        .join(options.withColumns(pair), list(pair))
+        .select("record_id", details)
     )
 
 

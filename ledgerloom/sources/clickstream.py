@@ -44,9 +44,10 @@ def site_events(spark: SparkSession, folder: str) -> DataFrame:
     log = read_table(spark, folder, "events")
     user = F.col("user_id").cast("string")
     number = F.get_json_object("props", "$.k").cast("int")
+    day = F.col("ts").cast("date").cast("string")
     kind = F.col("event_type")
     return log.select(
-        F.concat(user, F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("visit_id"),
+        F.concat(user, F.lit("-"), F.translate(day, "-", "")).alias("visit_id"),
         F.concat(user, F.lit("-"), (F.col("event_id") % 3).cast("string")).alias("cookie_id"),
         (number % 13 + 1).alias("page_id"),
         F.when(kind == "view", 1).when(kind == "click", 2).when(kind == "purchase", 3)

@@ -79,7 +79,7 @@ def runner_orders(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select(
         key.alias("order_id"),
         (F.col("o_custkey") % 10 + 1).alias("runner_id"),
-        F.when(cancelled, "null").otherwise(F.date_format(pickup, "yyyy-MM-dd HH:mm:ss"))
+        F.when(cancelled, "null").otherwise(_text(pickup))
         .alias("pickup_time"),
         F.when(cancelled, "null").otherwise(distance).alias("distance"),
         F.when(cancelled, "null").otherwise(duration).alias("duration"),

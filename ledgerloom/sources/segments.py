@@ -28,7 +28,9 @@ def interest_metrics(spark: SparkSession, folder: str, ranks: bool = True) -> Da
     The rank within a month is only worked out when asked for.
     """
     lines = read_table(spark, folder, "lineitem")
-    month = F.when(F.col("l_partkey") % 50 != 0, F.date_format("l_shipdate", "MM-yyyy"))
+    two_digits = F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
+    text = F.concat_ws("-", two_digits, F.year("l_shipdate").cast("string"))
+    month = F.when(F.col("l_partkey") % 50 != 0, text)
     interest = _interest(F.col("l_suppkey"), F.col("l_returnflag")).cast("string")
     sums = lines.groupBy(interest.alias("interest_id"), month.alias("month_year")).agg(
         F.sum(F.col("l_quantity").cast(MONEY)).alias("quantity"),
