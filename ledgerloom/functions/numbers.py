@@ -10,6 +10,11 @@ MONEY = "decimal(18,2)"
 OPERAND = "decimal(22,2)"
 
 
+def cents(amount: Column) -> Column:
+    """Amount with two digits, stored as double, as whole cents: exact and cheap to sum."""
+    return F.rint(amount * 100).cast("bigint")
+
+
 def int_div(a: Column, b: Column) -> Column:
     """Whole-number division that drops the fraction."""
     return F.call_function("div", a, b)

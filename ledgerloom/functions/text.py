@@ -26,7 +26,7 @@ def elements(text: Column) -> Column:
 
 def list_size(text: Column) -> Column:
     """Number of elements, 0 for an empty list."""
-    return F.coalesce(F.size(elements(text)), F.lit(0))
+    return F.coalesce(F.size(F.split(clean_token(text), ",")), F.lit(0))
 
 
 def unit_number(text: Column, to: str) -> Column:

@@ -3,7 +3,8 @@
 A plain ranking window sends every row of a key to one task. Here equal rows are
 first merged into counted rows (map side), the counted rows are numbered inside
 small blocks of the key, and the blocks are numbered by their sizes. A block is a
-coarse prefix of the sort order, so the result equals the plain window.
+coarse prefix of the sort order, so the result equals the plain window. Choose blocks
+so that neither the rows of a block nor the blocks of a key are too many for a task.
 """
 
 from __future__ import annotations
@@ -17,71 +18,62 @@ from ..functions.numbers import int_div
 COPIES_PER_TASK = 100_000
 
 
-def _before(parent: list[str], by: list[str], amount: str) -> Column:
-    window = Window.partitionBy(*parent).orderBy(*by)
-    return F.coalesce(
-        F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-
-
 def count_before(
-    df: DataFrame,
-    keys: list[str],
-    levels: list[list[str]],
-    order: list[str],
-    weight: str,
-    name: str,
+    df: DataFrame, keys: list[str], block: list[str], order: list[str], weight: str, name: str
 ) -> DataFrame:
-    """Add `name`: sum of `weight` over the rows of the same keys that sort before.
+    """Add `name`, the weight of the rows of the same keys that sort before, and `name`_all.
 
-    The order is ascending by the columns of all levels, widest first, then `order`;
-    no two rows agree on all of them. Keys and level columns are not NULL.
+    The order is ascending by the block columns, then by `order`; no two rows agree on
+    all of them. `name`_all is the weight of all rows of the keys.
     """
-    leaf = keys + [c for level in levels for c in level]
-    placed = df.withColumn(name, _before(leaf, order, weight))
-    sizes = df.groupBy(*leaf).agg(F.sum(weight).alias("_size"))
-    offsets = None
-    for depth in range(len(levels), 0, -1):
-        parent = keys + [c for level in levels[: depth - 1] for c in level]
-        here = parent + levels[depth - 1]
-        skip = _before(parent, levels[depth - 1], "_size")
-        if offsets is None:
-            offsets = sizes.select(*here, skip.alias("_skip"))
-        else:
-            outer = sizes.select(*here, skip.alias("_outer"))
-            summed = F.col("_skip") + F.col("_outer")
-            offsets = offsets.join(outer, here).withColumn("_skip", summed).drop("_outer")
-        sizes = sizes.groupBy(*parent).agg(F.sum("_size").alias("_size"))
-    return placed.join(offsets, leaf).withColumn(name, F.col(name) + F.col("_skip")).drop("_skip")
+
+    def before(parent: list[str], by: list[str], amount: str) -> Column:
+        earlier = Window.partitionBy(*parent).orderBy(*by).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        return F.coalesce(F.sum(amount).over(earlier), F.lit(0))
+
+    # One struct as block key: NULL keys match each other, and the join adds no filter
+    # that would keep Spark from reading the shuffled rows once for both sides.
+    keyed = df.withColumn("_leaf", F.struct(*keys, *block))
+    placed = keyed.withColumn(name, before(["_leaf"], order, weight))
+    sizes = keyed.groupBy("_leaf").agg(F.sum(weight).alias("_size"))
+    parent = [f"_leaf.{k}" for k in keys]
+    offsets = sizes.select(
+        "_leaf",
+        before(parent, [f"_leaf.{b}" for b in block], "_size").alias("_skip"),
+        F.sum("_size").over(Window.partitionBy(*parent)).alias(f"{name}_all"),
+    )
+    return (
+        placed.join(offsets, "_leaf")
+        .withColumn(name, F.col(name) + F.col("_skip"))
+        .drop("_leaf", "_skip")
+    )
 
 
 def number_rows(
     df: DataFrame,
     keys: list[str],
-    levels: dict[str, Column],
+    block: dict[str, Column],
     order: list[str],
     name: str = "row_no",
 ) -> DataFrame:
-    """Add `name`: 1..n per key (row_number) by the levels, then by `order`.
+    """Add `name`: 1..n per key (row_number) by the block columns, then by `order`.
 
-    Levels are nested and never NULL, widest first. Rows that tie on levels and
-    order must be equal in all columns. A row with very many copies is laid out in
-    pieces, each a block of its own behind the other rows of the finest level, so
+    Rows that tie on both must be equal in all columns. A row with very many copies is
+    laid out in pieces, each a block of its own behind the other rows of its block, so
     that several tasks write it.
     """
     columns = df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_all"))
-    pieces = F.sequence(F.lit(0), int_div(F.col("_all") - 1, F.lit(COPIES_PER_TASK)))
-    rest = F.col("_all") - F.col("_piece") * COPIES_PER_TASK
+    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    pieces = F.sequence(F.lit(0), int_div(F.col("_copies") - 1, F.lit(COPIES_PER_TASK)))
+    rest = F.col("_copies") - F.col("_piece") * COPIES_PER_TASK
     counted = (
-        copies.withColumns(levels)
+        copies.withColumns(block)
         .withColumn("_piece", F.explode(pieces))
         .withColumn("_n", F.least(rest, F.lit(COPIES_PER_TASK)))
-        .drop("_all")
     )
-    *wide, finest = [[level] for level in levels]
-    blocks = [*wide, [*finest, "_piece"]]
-    placed = count_before(counted, keys, blocks, order, "_n", "_start")
+    placed = count_before(counted, keys, [*block, "_piece"], order, "_n", "_start")
     positions = F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_n"))
     return placed.select(*columns, F.explode(positions).alias(name))
 
@@ -89,12 +81,13 @@ def number_rows(
 def rank_values(
     df: DataFrame, keys: list[str], value: str, width: int, name: str = "rn"
 ) -> DataFrame:
-    """(keys, value, rank) for each distinct value, highest first; ties share a rank.
+    """(keys, value, rank, rows) for each distinct value, highest first; ties share a rank.
 
-    `width` is the value range of one block.
+    `width` is the value range of one block; `rows` counts all rows of the keys.
     """
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumns(
         {"_down": -F.col(value), "_block": F.floor(-F.col(value) / width)}
     )
-    ranked = count_before(counted, keys, [["_block"]], ["_down"], "_n", name)
-    return ranked.select(*keys, value, (F.col(name) + 1).cast("int").alias(name))
+    ranked = count_before(counted, keys, ["_block"], ["_down"], "_n", name)
+    rank = (F.col(name) + 1).cast("int").alias(name)
+    return ranked.select(*keys, value, rank, F.col(f"{name}_all").alias("rows"))

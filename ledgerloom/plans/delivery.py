@@ -160,7 +160,7 @@ def prep_time_vs_items(customer_orders: DataFrame, runner_orders: DataFrame) ->
     return (
         timed.groupBy(F.col("order_id").alias("o_id"), _prep_minutes().alias("prep_time"))
         .agg(F.sum("lines").alias("no_pizza"))
-        .orderBy("no_pizza")
+        .orderBy("no_pizza", "o_id")
     )
 
 
@@ -223,9 +223,9 @@ def _cleaned(customer_orders: DataFrame) -> DataFrame:
 
 def clean_orders(customer_orders: DataFrame) -> DataFrame:
     """Null words to NULL, and a record id made of the order and the line's number in it."""
-    levels = {"_block": F.pmod(F.col("pizza_id"), F.lit(PIZZA_BLOCKS))}
+    block = {"_block": F.pmod(F.col("pizza_id"), F.lit(PIZZA_BLOCKS))}
     order = ["pizza_id", "exclusions", "extras", "customer_id", "order_time"]
-    numbered = number_rows(_cleaned(customer_orders), ["order_id"], levels, order, "seq")
+    numbered = number_rows(_cleaned(customer_orders), ["order_id"], block, order, "seq")
     record = F.concat_ws("-", F.col("order_id").cast("string"), F.col("seq").cast("string"))
     return numbered.select(record.alias("record_id"), *customer_orders.columns)
 

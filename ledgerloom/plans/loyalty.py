@@ -1,21 +1,24 @@
 """Restaurant loyalty: spend, first and favourite items, points, member orders.
 
 Inputs: sales(customer_id, order_date, product_id), menu(product_id, product_name,
-price), members(customer_id, join_date). Sales are merged per customer and day or
-product before they meet members, so a customer with very many sales is small there.
+price), members(customer_id, join_date), the last two with one row per id. Sales are
+merged per customer and day or product before they meet members, so a customer with
+very many sales is small there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import int_div
 from ..operators.positions import number_rows
 from ..operators.topn import first_per_key, leaders, top_n
 
-# Width of one product block when a customer's orders are numbered.
-PRODUCT_BLOCK = 10_000
+# Products of one block when a customer's orders of a day are numbered.
+PRODUCT_BLOCK = 1_000_000
+# The name as second sort column lets the sort split a customer with very many rows.
+BY_CUSTOMER = ("customer_id", "product_name")
 
 
 def _priced(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Products each customer bought most often, ties kept."""
     counts = sales.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
     best = leaders(counts, ["customer_id"], "n")
-    return _named(best, menu).select("customer_id", "product_name").orderBy("customer_id")
+    return _named(best, menu).select("customer_id", "product_name").orderBy(*BY_CUSTOMER)
 
 
 def first_item_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
@@ -78,7 +81,7 @@ def items_before_join(
             .filter(F.col("order_date") < F.col("join_date"))
         )
     named = _named(bought, menu).select("customer_id", "product_name").distinct()
-    return named.orderBy("customer_id")
+    return named.orderBy(*BY_CUSTOMER)
 
 
 def totals_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
@@ -143,24 +146,19 @@ def member_flagged_orders(sales: DataFrame, menu: DataFrame, members: DataFrame)
 def member_order_rank(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Number of the order among the customer's member orders, NULL for the others.
 
-    Row number of the customer's orders by date and product minus the running count
-    of non-member orders up to and with the day; below 1 becomes NULL.
+    The question is put as row number minus the running count of non-member orders,
+    NULL below 1. A customer joins once, so all non-member orders come before the
+    member orders, and that difference is the row number within the flag.
     """
-    flagged = _flagged(sales, menu, members)
-    levels = {
+    block = {
         "_day": F.col("order_date"),
         "_product": int_div(F.col("product_id"), F.lit(PRODUCT_BLOCK)),
     }
-    order = ["order_date", "product_id", "member", "product_name", "price"]
-    numbered = number_rows(flagged, ["Customer"], levels, order)
-    # Window rows are the customer's days, not the orders.
-    daily = flagged.groupBy("Customer", "order_date").agg(
-        F.count_if(F.col("member") == "N").alias("_n")
+    order = ["product_id", "product_name", "price"]
+    numbered = number_rows(
+        _flagged(sales, menu, members), ["Customer", "member"], block, order
     )
-    upto = F.sum("_n").over(Window.partitionBy("Customer").orderBy("order_date"))
-    running = daily.select("Customer", "order_date", upto.alias("_others"))
-    rank = F.col("row_no") - F.col("_others")
-    return numbered.join(running, ["Customer", "order_date"]).select(
+    return numbered.select(
         "Customer", "order_date", "product_name", "price", "member",
-        F.when(rank >= 1, rank).alias("ranking"),
+        F.when(F.col("member") == "Y", F.col("row_no")).alias("ranking"),
     )

@@ -149,20 +149,26 @@ def worst_ranking5(filtered: DataFrame, interest_map: DataFrame) -> DataFrame:
     return top_n(ranks, "avg_r", 5, ["interest_name"])
 
 
-def most_variable5(filtered: DataFrame, interest_map: DataFrame) -> DataFrame:
-    """Highest sample standard deviation of the percentile ranking.
+def _five_most_variable(named: DataFrame) -> DataFrame:
+    """Five interests with the highest sample deviation of the percentile ranking, and its ends.
 
     Variance from exact decimal sums, so the result does not depend on row order.
     """
     x = F.col("percentile_ranking").cast("decimal(10,2)")
-    sums = _named(filtered, interest_map).groupBy("interest_name").agg(
-        F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q")
+    sums = named.groupBy("interest_name").agg(
+        F.count(x).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q"),
+        F.min("percentile_ranking").alias("lo"), F.max("percentile_ranking").alias("hi"),
     )
     spread = F.col("q") * F.col("n") - F.col("s") * F.col("s")
     degrees = F.nullif(F.col("n") * (F.col("n") - 1), F.lit(0))
     deviation = F.sqrt(spread.cast("double") / degrees.cast("double"))
-    named = sums.select("interest_name", F.round(deviation, 2).cast("decimal(10,2)").alias("avg_r"))
-    return top_n(named, "avg_r", 5, ["interest_name"])
+    rounded = F.round(deviation, 2).cast("decimal(10,2)").alias("avg_r")
+    return top_n(sums.select("interest_name", rounded, "lo", "hi"), "avg_r", 5, ["interest_name"])
+
+
+def most_variable5(filtered: DataFrame, interest_map: DataFrame) -> DataFrame:
+    five = _five_most_variable(_named(filtered, interest_map))
+    return five.select("interest_name", "avg_r")
 
 
 def percentile_extremes(
@@ -177,16 +183,26 @@ def percentile_extremes(
     interest's own, `five_only=False` looks at all interests.
     """
     named = _named(filtered, interest_map)
-    if five_only:
-        five = most_variable5(filtered, interest_map).select("interest_name")
-        named = named.join(five, "interest_name", "left_semi")
     value = F.col("percentile_ranking")
+    least, most = F.min(value).alias("lo"), F.max(value).alias("hi")
+    # Five rows at most: broadcast, and looked at as a whole.
+    five = F.broadcast(_five_most_variable(named))
     if per_interest:
-        ends = named.groupBy("interest_id").agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-        kept = named.join(ends, "interest_id").filter((value == F.col("lo")) | (value == F.col("hi")))
+        if five_only:
+            named = named.join(five.select("interest_name"), "interest_name", "left_semi")
+        ends = named.groupBy("interest_id").agg(least, most)
+        kept = named.join(ends, "interest_id").filter(value.isin(F.col("lo"), F.col("hi")))
+    elif five_only:
+        everyone = Window.partitionBy()
+        ends = five.select(
+            "interest_name",
+            F.min("lo").over(everyone).alias("lo"),
+            F.max("hi").over(everyone).alias("hi"),
+        )
+        kept = named.join(F.broadcast(ends), "interest_name")
+        kept = kept.filter(value.isin(F.col("lo"), F.col("hi")))
     else:
-        ends = named.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("e"))
-        end = ends.scalar()
+        end = named.agg(F.struct(least, most).alias("e")).scalar()
         kept = named.filter((value == end["lo"]) | (value == end["hi"]))
     return kept.orderBy("interest_id", "percentile_ranking").select(
         "month_year", "interest_name", "percentile_ranking"

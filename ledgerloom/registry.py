@@ -285,17 +285,15 @@ def _clickstream() -> dict[str, Query]:
 def _segments() -> dict[str, Query]:
     months = i_in.MIN_MONTHS
 
-    def dated(spark: SparkSession, folder: str, ranks: bool) -> DataFrame:
-        return segments.month_year_to_date(i_in.interest_metrics(spark, folder, ranks))
-
     def job(
         function, with_map: bool = False, ranks: bool = False, nulls: bool = False,
         filtered: bool = False, **options,
     ) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            metrics = dated(spark, folder, ranks)
+            metrics = i_in.interest_metrics(spark, folder, ranks)
             if not nulls:
                 metrics = segments.drop_null_months(metrics)
+            metrics = segments.month_year_to_date(metrics)
             if filtered:
                 metrics = segments.filtered_metrics(metrics, months)
             maps = [i_in.interest_map(spark, folder)] if with_map else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numbers import MONEY, ratio
+from ..functions.numbers import MONEY, cents, ratio
 from ..operators.positions import rank_values
 from .tables import read_table
 
@@ -28,37 +28,35 @@ def interest_metrics(spark: SparkSession, folder: str, ranks: bool = True) -> Da
     The rank within a month is only worked out when asked for.
     """
     lines = read_table(spark, folder, "lineitem")
-    two_digits = F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
-    text = F.concat_ws("-", two_digits, F.year("l_shipdate").cast("string"))
-    month = F.when(F.col("l_partkey") % 50 != 0, text)
-    interest = _interest(F.col("l_suppkey"), F.col("l_returnflag")).cast("string")
-    sums = lines.groupBy(interest.alias("interest_id"), month.alias("month_year")).agg(
-        F.sum(F.col("l_quantity").cast(MONEY)).alias("quantity"),
-        F.sum(F.col("l_discount").cast(MONEY)).alias("discount"),
+    # Group by numbers; the text columns are made from the groups.
+    month = F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1
+    dated = F.when(F.col("l_partkey") % 50 != 0, month)
+    interest = _interest(F.col("l_suppkey"), F.col("l_returnflag"))
+    sums = lines.groupBy(interest.alias("interest"), dated.alias("month")).agg(
+        F.sum(cents(F.col("l_quantity"))).alias("quantity"),
+        F.sum(cents(F.col("l_discount"))).alias("discount"),
         F.count(F.lit(1)).alias("n"),
     )
-    tenth = F.col("quantity").cast(MONEY) * F.lit("0.1").cast("decimal(2,1)")
+    # A tenth of the quantity, from cents.
+    tenth = F.col("quantity").cast("decimal(18,0)") * F.lit("0.001").cast("decimal(4,3)")
+    two_digits = F.lpad((F.col("month") % 12 + 1).cast("string"), 2, "0")
+    year = F.floor(F.col("month") / 12).cast("string")
     metrics = sums.select(
-        "month_year",
-        "interest_id",
+        F.concat(two_digits, F.lit("-"), year).alias("month_year"),
+        F.col("interest").cast("string").alias("interest_id"),
         tenth.cast(MONEY).alias("composition"),
-        (F.lit(1) + ratio(F.col("discount"), F.col("n"), 4)).cast("decimal(18,4)")
+        (F.lit(1) + ratio(F.col("discount"), F.col("n") * 100, 4)).cast("decimal(18,4)")
         .alias("index_value"),
     )
     if not ranks:
         return metrics
     keyed = metrics.withColumn("_month", F.coalesce("month_year", F.lit("")))
     ranked = rank_values(keyed, ["_month"], "composition", RANK_BLOCK, "ranking")
-    sizes = keyed.groupBy("_month").agg(F.count(F.lit(1)).alias("_rows"))
-    below = ratio(F.col("ranking"), F.col("_rows"), 2, times=100)
-    return (
-        keyed.join(ranked, ["_month", "composition"])
-        .join(sizes, "_month")
-        .select(
-            *metrics.columns,
-            "ranking",
-            (F.lit(100) - below).cast(MONEY).alias("percentile_ranking"),
-        )
+    below = ratio(F.col("ranking"), F.col("rows"), 2, times=100)
+    return keyed.join(ranked, ["_month", "composition"]).select(
+        *metrics.columns,
+        "ranking",
+        (F.lit(100) - below).cast(MONEY).alias("percentile_ranking"),
     )
 
 

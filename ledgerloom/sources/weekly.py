@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numbers import MONEY
+from ..functions.numbers import cents, int_div
 from .tables import read_table
 
 PIVOT = "1998-06-15"
@@ -20,7 +20,7 @@ def weekly_sales(spark: SparkSession, folder: str) -> DataFrame:
     Order lines are summed per order before they meet anything else, so each order
     is one transaction and no distinct count is needed.
     """
-    price = F.col("l_extendedprice").cast(MONEY)
+    price = cents(F.col("l_extendedprice"))
     flags = [
         F.sum(F.when(F.col("l_returnflag") == flag, price)).alias(name)
         for flag, name in CUSTOMER_TYPES.items()
@@ -64,7 +64,7 @@ def weekly_sales(spark: SparkSession, folder: str) -> DataFrame:
         facts.groupBy("monday", "region", "platform", "segment", "customer_type")
         .agg(
             F.count(F.lit(1)).alias("transactions"),
-            F.floor(F.sum("amount")).cast("bigint").alias("sales"),
+            int_div(F.sum("amount"), F.lit(100)).alias("sales"),
         )
         .select(
             F.date_format("monday", "d/M/yy").alias("week_date"),

@@ -23,14 +23,14 @@ def test_row_numbers_with_a_hot_key(spark, monkeypatch, copies):
     draw = random.Random(copies)
     data = [(0 if draw.random() < 0.5 else draw.randrange(20), draw.randrange(40)) for _ in range(600)]
     df = spark.createDataFrame(data, "k int, v int")
-    levels = {"_a": F.floor(F.col("v") / 16), "_b": F.floor(F.col("v") / 4)}
-    numbered = sorted(rows(positions.number_rows(df, ["k"], levels, ["v"], "n")))
+    block = {"_block": F.floor(F.col("v") / 4)}
+    numbered = sorted(rows(positions.number_rows(df, ["k"], block, ["v"], "n")))
     for key in set(k for k, _ in data):
         found = sorted((n, v) for k, v, n in numbered if k == key)
         values = sorted(v for k, v in data if k == key)
         assert [n for n, _ in found] == list(range(1, len(values) + 1))
         assert sorted(v for _, v in found) == values
-        # Pieces of a row with many copies come last within the finest level.
+        # Pieces of a row with many copies come last within the block.
         exact = max(Counter(values).values()) <= copies
         found = [v if exact else v // 4 for _, v in found]
         assert found == (values if exact else [v // 4 for v in values])
