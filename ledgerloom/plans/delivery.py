@@ -19,8 +19,8 @@ from ..operators.topn import not_in, top_n
 from ..sources.sinks import append_rows
 
 CONTENT = ["pizza_id", "exclusions", "extras"]
-# Blocks of pizzas when the lines of an order are numbered.
-PIZZA_BLOCKS = 4096
+# Pizzas of one block when the lines of an order are numbered.
+PIZZA_BLOCK = 100_000
 # Prices and the pay per kilometre.
 PREMIUM_PRICE, PRICE = 12, 10
 PER_KM = "0.30"
@@ -223,7 +223,7 @@ def _cleaned(customer_orders: DataFrame) -> DataFrame:
 
 def clean_orders(customer_orders: DataFrame) -> DataFrame:
     """Null words to NULL, and a record id made of the order and the line's number in it."""
-    block = {"_block": F.pmod(F.col("pizza_id"), F.lit(PIZZA_BLOCKS))}
+    block = {"_block": int_div(F.col("pizza_id"), F.lit(PIZZA_BLOCK))}
     order = ["pizza_id", "exclusions", "extras", "customer_id", "order_time"]
     numbered = number_rows(_cleaned(customer_orders), ["order_id"], block, order, "seq")
     record = F.concat_ws("-", F.col("order_id").cast("string"), F.col("seq").cast("string"))
@@ -320,13 +320,13 @@ def _portions(
     lines with that content, so hot pizzas meet the recipe once per content.
     """
     contents = _cleaned(lines).groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("n"))
-    rows = contents.join(pizza_recipes, "pizza_id")
+    # Lists are split once per content, before the recipe multiplies the rows.
+    lists = {f"_{c}": elements(F.col(c)) for c in ("extras", "exclusions")}
+    rows = contents.withColumns(lists).join(pizza_recipes, "pizza_id")
     rows = tokenize_list(rows, "toppings", "part")
-
-    def listed(column: str) -> Column:
-        return F.coalesce(F.array_contains(elements(F.col(column)), F.col("part")), F.lit(False))
-
-    times = F.when(listed("extras"), 2).when(listed("exclusions"), 0).otherwise(1)
+    # NULL for a missing list, which counts as not listed.
+    extra, excluded = (F.array_contains(c, F.col("part")) for c in lists)
+    times = F.when(extra, 2).when(excluded, 0).otherwise(1)
     rows = rows.withColumns({"times": times, "topping_id": F.col("part").try_cast("int")})
     return rows.join(pizza_toppings, "topping_id")
 

@@ -1,7 +1,8 @@
 """Interest segments: cleaning, coverage, composition and index analysis.
 
 Inputs: interest_metrics(month_year, interest_id, composition, index_value, ranking,
-percentile_ranking), interest_map(id, interest_name, ...). Jobs after the first read
+percentile_ranking) with one row per interest and month, interest_map(id,
+interest_name, ...). Jobs after the first read
 the metrics with dated months. Interest ids are text in the metrics and numbers in
 the map, so the join casts them.
 """
@@ -111,9 +112,14 @@ def interests_per_month(metrics: DataFrame, more_than: int) -> DataFrame:
 
 
 def filtered_metrics(metrics: DataFrame, months: int) -> DataFrame:
-    """Rows of the interests with enough distinct months."""
-    wide = coverage(metrics, "interest_id", "month_year").filter(F.col("total_month") >= months)
-    return metrics.join(wide, "interest_id", "left_semi").select(*metrics.columns)
+    """Rows of the interests with enough distinct months.
+
+    An interest has one row per month, so its window is short and saves a second pass.
+    """
+    present = F.collect_set("month_year").over(Window.partitionBy("interest_id"))
+    counted = metrics.withColumn("_months", F.size(present))
+    wide = F.col("interest_id").isNotNull() & (F.col("_months") >= months)
+    return counted.filter(wide).drop("_months")
 
 
 # Segments, on the filtered metrics
@@ -184,25 +190,23 @@ def percentile_extremes(
     """
     named = _named(filtered, interest_map)
     value = F.col("percentile_ranking")
-    least, most = F.min(value).alias("lo"), F.max(value).alias("hi")
-    # Five rows at most: broadcast, and looked at as a whole.
-    five = F.broadcast(_five_most_variable(named))
-    if per_interest:
-        if five_only:
-            named = named.join(five.select("interest_name"), "interest_name", "left_semi")
-        ends = named.groupBy("interest_id").agg(least, most)
-        kept = named.join(ends, "interest_id").filter(value.isin(F.col("lo"), F.col("hi")))
-    elif five_only:
+    if five_only:
+        # Five rows at most: broadcast, and looked at as a whole.
         everyone = Window.partitionBy()
-        ends = five.select(
+        five = _five_most_variable(named).select(
             "interest_name",
             F.min("lo").over(everyone).alias("lo"),
             F.max("hi").over(everyone).alias("hi"),
         )
-        kept = named.join(F.broadcast(ends), "interest_name")
-        kept = kept.filter(value.isin(F.col("lo"), F.col("hi")))
+        named = named.join(F.broadcast(five), "interest_name")
+    if per_interest:
+        own = Window.partitionBy("interest_id")
+        named = named.withColumns({"lo": F.min(value).over(own), "hi": F.max(value).over(own)})
+    if five_only or per_interest:
+        kept = named.filter((value == F.col("lo")) | (value == F.col("hi")))
     else:
-        end = named.agg(F.struct(least, most).alias("e")).scalar()
+        ends = F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("e")
+        end = named.agg(ends).scalar()
         kept = named.filter((value == end["lo"]) | (value == end["hi"]))
     return kept.orderBy("interest_id", "percentile_ranking").select(
         "month_year", "interest_name", "percentile_ranking"
