@@ -13,9 +13,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def leaders(df: DataFrame, keys: list[str], metric: str) -> DataFrame:
-    """Rows whose metric is the highest of their key, all ties kept."""
+    """Rows whose metric is the highest of their key, all ties kept.
+
+    Looked up by one struct, so NULL keys match and both sides read the same shuffle.
+    """
     best = df.groupBy(*keys).agg(F.max(metric).alias(metric))
-    return df.join(best, [*keys, metric], "left_semi")
+    key = F.struct(*keys, metric).alias("_key")
+    return df.select("*", key).join(best.select(key), "_key", "left_semi").drop("_key")
 
 
 def top_n(

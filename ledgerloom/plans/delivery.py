@@ -221,24 +221,37 @@ def _cleaned(customer_orders: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(customer_orders: DataFrame) -> DataFrame:
-    """Null words to NULL, and a record id made of the order and the line's number in it."""
+def _records(lines: DataFrame) -> DataFrame:
+    """Cleaned lines with a record id made of the order and the line's number in it.
+
+    Lines of an order are numbered by content first, so records that need no other
+    columns can be numbered without them and still match.
+    """
     block = {"_block": int_div(F.col("pizza_id"), F.lit(PIZZA_BLOCK))}
-    order = ["pizza_id", "exclusions", "extras", "customer_id", "order_time"]
-    numbered = number_rows(_cleaned(customer_orders), ["order_id"], block, order, "seq")
+    order = [*CONTENT, *[c for c in lines.columns if c not in ("order_id", *CONTENT)]]
+    numbered = number_rows(_cleaned(lines), ["order_id"], block, order, "seq")
     record = F.concat_ws("-", F.col("order_id").cast("string"), F.col("seq").cast("string"))
-    return numbered.select(record.alias("record_id"), *customer_orders.columns)
+    return numbered.select(record.alias("record_id"), *lines.columns)
+
+
+def _content_records(customer_orders: DataFrame) -> DataFrame:
+    return _records(customer_orders.select("order_id", *CONTENT))
+
+
+def clean_orders(customer_orders: DataFrame) -> DataFrame:
+    """Null words to NULL, and a record id."""
+    return _records(customer_orders)
 
 
 def explode_extras(customer_orders: DataFrame) -> DataFrame:
-    records = clean_orders(customer_orders)
+    records = _content_records(customer_orders)
     return tokenize_list(records, "extras", "topping_id").select(
         "record_id", "order_id", "topping_id"
     )
 
 
 def explode_exclusions(customer_orders: DataFrame) -> DataFrame:
-    records = clean_orders(customer_orders)
+    records = _content_records(customer_orders)
     return tokenize_list(records, "exclusions", "topping_id").select("record_id", "topping_id")
 
 
@@ -271,17 +284,14 @@ def top_exclusion(customer_orders: DataFrame) -> DataFrame:
     return _top_element(customer_orders, "exclusions")
 
 
-def _rendered(
-    records: DataFrame, column: str, prefix: str, pizza_toppings: DataFrame, name: str
-) -> DataFrame:
+def _list_names(lists: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     """Each distinct list text with its topping names: rendered once, not per record."""
-    texts = records.filter(F.col(column).isNotNull()).select(column).distinct()
-    parts = texts.select(column, F.posexplode(elements(F.col(column))).alias("pos", "part"))
+    texts = lists.select(F.explode(F.array("extras", "exclusions")).alias("text")).distinct()
+    parts = texts.select("text", F.posexplode(elements(F.col("text"))).alias("pos", "part"))
     named = parts.withColumn("topping_id", F.col("part").try_cast("int")).join(
         pizza_toppings, "topping_id"
     )
-    joined = render_list(named, [column], ["topping_id", "pos"], "topping_name", "names")
-    return joined.select(column, F.concat(F.lit(prefix), F.col("names")).alias(name))
+    return render_list(named, ["text"], ["topping_id", "pos"], "topping_name", "names")
 
 
 def order_description(
@@ -289,14 +299,21 @@ def order_description(
 ) -> DataFrame:
     """'Name - Extra a, b - Exclude c' per record."""
     lists = _cleaned(customer_orders.select("extras", "exclusions").distinct()).distinct()
-    extra = _rendered(lists, "extras", "Extra ", pizza_toppings, "_extra")
-    exclude = _rendered(lists, "exclusions", "Exclude ", pizza_toppings, "_exclude")
-    options = lists.join(extra, "extras", "left").join(exclude, "exclusions", "left")
+    names = _list_names(lists, pizza_toppings)
+
+    def option(column: str, prefix: str, name: str) -> DataFrame:
+        return names.select(
+            F.col("text").alias(column), F.concat(F.lit(prefix), "names").alias(name)
+        )
+
+    options = lists.join(option("extras", "Extra ", "_extra"), "extras", "left").join(
+        option("exclusions", "Exclude ", "_exclude"), "exclusions", "left"
+    )
     # Equality joins drop NULL lists, so the pair is looked up with '' for them.
     pair = {c: F.coalesce(c, F.lit("")) for c in ("extras", "exclusions")}
     details = F.concat_ws(" - ", "pizza_name", "_extra", "_exclude").alias("order_details")
     return (
-        clean_orders(customer_orders)
+        _content_records(customer_orders)
         .join(pizza_names, "pizza_id")
         .withColumns(pair)
         .join(options.withColumns(pair), list(pair))
@@ -352,7 +369,7 @@ def ingredient_list(
     label = F.concat(F.when(F.col("times") == 2, "2x").otherwise(""), F.col("topping_name"))
     used = portions.filter(F.col("times") > 0).withColumns({**keys, "label": label})
     texts = render_list(used, CONTENT, ["topping_name"], "label", "ingredients")
-    records = clean_orders(customer_orders).withColumns(keys)
+    records = _content_records(customer_orders).withColumns(keys)
     return records.join(texts, CONTENT, "left").select("record_id", "ingredients")
 
 

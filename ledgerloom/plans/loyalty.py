@@ -52,7 +52,8 @@ def most_purchased_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Products each customer bought most often, ties kept."""
-    counts = sales.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    known = sales.filter(F.col("product_id").isNotNull())
+    counts = known.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
     best = leaders(counts, ["customer_id"], "n")
     return _named(best, menu).select("customer_id", "product_name").orderBy(*BY_CUSTOMER)
 

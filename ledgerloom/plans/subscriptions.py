@@ -116,15 +116,18 @@ def annual_upgrades(
 
 
 def _days_to_annual(subscriptions: DataFrame) -> DataFrame:
-    """Days from each trial start to each annual start of the same customer."""
-    trials = subscriptions.filter(F.col("plan_id") == TRIAL).select(
-        "customer_id", F.col("start_date").alias("trial_date")
-    )
-    annual = subscriptions.filter(F.col("plan_id") == ANNUAL).select(
-        "customer_id", F.col("start_date").alias("annual_date")
-    )
-    days = F.datediff("annual_date", "trial_date").alias("d")
-    return trials.join(annual, "customer_id").select(days)
+    """Days from the trial to the annual start of each customer that has both.
+
+    One row per customer and plan, so one aggregate takes the place of a self-join.
+    """
+
+    def start(plan: int) -> Column:
+        return F.min(F.when(F.col("plan_id") == plan, F.col("start_date")))
+
+    days = F.datediff(start(ANNUAL), start(TRIAL)).alias("d")
+    known = subscriptions.filter(F.col("customer_id").isNotNull())
+    both = known.groupBy("customer_id").agg(days)
+    return both.filter(F.col("d").isNotNull()).select("d")
 
 
 def avg_days_to_annual(subscriptions: DataFrame) -> DataFrame:

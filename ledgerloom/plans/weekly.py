@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import short_date, us_week
@@ -95,11 +95,14 @@ def platform_share_region(clean: DataFrame, dim: str = "region") -> DataFrame:
 
 
 def retail_share_by_segment(clean: DataFrame) -> DataFrame:
-    """Whole percent of retail sales per age band and demographic, fraction dropped."""
+    """Whole percent of retail sales per age band and demographic, fraction dropped.
+
+    The total is that of the groups, of which there are a handful.
+    """
     retail = clean.filter(F.col("platform") == "Retail")
-    total = retail.agg(F.sum("sales").alias("t")).scalar()
-    share = int_div(F.lit(100) * F.sum("sales"), total)
-    return retail.groupBy("age_band", "demographic").agg(share.alias("retail_sales_percentage"))
+    sums = retail.groupBy("age_band", "demographic").agg(F.sum("sales").alias("s"))
+    share = int_div(F.lit(100) * F.col("s"), F.sum("s").over(Window.partitionBy()))
+    return sums.select("age_band", "demographic", share.alias("retail_sales_percentage"))
 
 
 def avg_transaction_compare(clean: DataFrame) -> DataFrame:
