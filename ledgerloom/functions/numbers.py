@@ -16,8 +16,8 @@ def cents(amount: Column) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Whole-number division that drops the fraction."""
-    return F.call_function("div", a, b)
+    """Whole-number division that drops the fraction; NULL where b is 0."""
+    return F.call_function("div", a, F.nullif(b, F.lit(0)))
 
 
 def truncated_avg(value: Column) -> Column:
