@@ -2,17 +2,54 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import simhash_variants
+from ledgerloom.llm import (
+    language_centroids,
+    line_blocks,
+    secret_grammars,
+    sentence_pieces,
+    simhash_variants,
+    temperature_mixing,
+)
 
 
 def _table(spark, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_temperature_mixing(spark, folder):
+    return temperature_mixing.query(_table(spark, folder, "documents"))
+
+
 def op4_simhash_variants(spark, folder):
     return simhash_variants.query(_table(spark, folder, "documents"))
 
 
-QUERIES = {"op4_simhash_variants": op4_simhash_variants}
+def op6_line_blocks(spark, folder):
+    return line_blocks.extract(_table(spark, folder, "pages"))
+
+
+def op7_secret_grammars(spark, folder):
+    return secret_grammars.query(_table(spark, folder, "documents"))
+
+
+def op9_language_centroids(spark, folder):
+    return language_centroids.query(_table(spark, folder, "documents"))
+
+
+def op10_sentence_pieces(spark, folder):
+    return sentence_pieces.query(_table(spark, folder, "documents"))
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op3_temperature_mixing,
+        op4_simhash_variants,
+        op6_line_blocks,
+        op7_secret_grammars,
+        op9_language_centroids,
+        op10_sentence_pieces,
+    )
+}
 
 SQL = {}
