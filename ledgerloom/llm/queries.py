@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.llm import (
     language_centroids,
     line_blocks,
+    quality_rules,
     secret_grammars,
     sentence_pieces,
     simhash_variants,
@@ -32,6 +33,10 @@ def op7_secret_grammars(spark, folder):
     return secret_grammars.query(_table(spark, folder, "documents"))
 
 
+def op8_quality_rules(spark, folder):
+    return quality_rules.query(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_language_centroids(spark, folder):
     return language_centroids.query(_table(spark, folder, "documents"))
 
@@ -47,6 +52,7 @@ QUERIES = {
         op4_simhash_variants,
         op6_line_blocks,
         op7_secret_grammars,
+        op8_quality_rules,
         op9_language_centroids,
         op10_sentence_pieces,
     )
