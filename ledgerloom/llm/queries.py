@@ -10,6 +10,7 @@ from ledgerloom.llm import (
     sentence_pieces,
     simhash_variants,
     temperature_mixing,
+    url_cascade,
 )
 
 
@@ -17,6 +18,10 @@ def _table(spark, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_url_cascade(spark, folder):
+    return url_cascade.judge(_table(spark, folder, "pages"))
+
+
 def op3_temperature_mixing(spark, folder):
     return temperature_mixing.query(_table(spark, folder, "documents"))
 
@@ -48,6 +53,7 @@ def op10_sentence_pieces(spark, folder):
 QUERIES = {
     query.__name__: query
     for query in (
+        op2_url_cascade,
         op3_temperature_mixing,
         op4_simhash_variants,
         op6_line_blocks,
