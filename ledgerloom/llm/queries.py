@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.llm import (
     language_centroids,
     line_blocks,
+    projection_forest,
     quality_rules,
     secret_grammars,
     sentence_pieces,
@@ -30,6 +31,10 @@ def op4_simhash_variants(spark, folder):
     return simhash_variants.query(_table(spark, folder, "documents"))
 
 
+def op5_projection_forest(spark, folder):
+    return projection_forest.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op6_line_blocks(spark, folder):
     return line_blocks.extract(_table(spark, folder, "pages"))
 
@@ -56,6 +61,7 @@ QUERIES = {
         op2_url_cascade,
         op3_temperature_mixing,
         op4_simhash_variants,
+        op5_projection_forest,
         op6_line_blocks,
         op7_secret_grammars,
         op8_quality_rules,
