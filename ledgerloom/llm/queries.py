@@ -10,6 +10,7 @@ from ledgerloom.llm import (
     secret_grammars,
     sentence_pieces,
     simhash_variants,
+    suffix_levels,
     temperature_mixing,
     url_cascade,
 )
@@ -19,6 +20,10 @@ def _table(spark, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_levels(spark, folder):
+    return suffix_levels.query(_table(spark, folder, "documents"))
+
+
 def op2_url_cascade(spark, folder):
     return url_cascade.judge(_table(spark, folder, "pages"))
 
@@ -58,6 +63,7 @@ def op10_sentence_pieces(spark, folder):
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_suffix_levels,
         op2_url_cascade,
         op3_temperature_mixing,
         op4_simhash_variants,
