@@ -29,7 +29,15 @@ def list_size(text: Column) -> Column:
     return F.coalesce(F.size(F.split(clean_token(text), ",")), F.lit(0))
 
 
+def element_numbers(text: Column) -> Column:
+    """Comma list to an array of whole numbers; an element that is none is NULL."""
+    return F.transform(elements(text), lambda part: part.try_cast("int"))
+
+
 def unit_number(text: Column, to: str) -> Column:
-    """Leading number of a text such as '23.4 km' or '32 minutes'; else NULL."""
-    digits = F.regexp_extract(text, r"^\s*(\d+(?:\.\d+)?)", 1)
-    return F.nullif(digits, F.lit("")).cast(to)
+    """Leading number of a text such as '23.4 km' or '32 minutes'; else NULL.
+
+    A whole number is made of the digits before the point; a number too large is NULL.
+    """
+    digits = F.regexp_extract(text, r"^\s*(\d+)(\.\d+)?", 1 if to == "int" else 0)
+    return F.nullif(F.trim(digits), F.lit("")).try_cast(to)

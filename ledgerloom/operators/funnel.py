@@ -30,19 +30,17 @@ def funnel(
 
 
 def attribute(
-    events: DataFrame, campaigns: DataFrame, time: str, start: str, end: str
+    events: DataFrame, campaigns: DataFrame, time: str, start: str, end: str, name: str
 ) -> DataFrame:
-    """Each event with each campaign whose closed window holds it.
+    """Each event with the name of each campaign whose closed window holds it, NULL for none.
 
     Campaigns are laid out by day, so the range join is an equi-join on the day
     with the exact bounds checked after; Spark broadcasts the campaign days if they
     are few and shuffles on the day if not.
     """
     days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))
-    by_day = campaigns.filter(F.col(start) <= F.col(end)).withColumn("_day", F.explode(days))
-    dated = events.withColumn("_day", F.col(time).cast("date"))
-    return (
-        dated.join(by_day, "_day")
-        .filter(F.col(time).between(F.col(start), F.col(end)))
-        .drop("_day", start, end)
-    )
+    valid = campaigns.filter(F.col(start) <= F.col(end)).select(name, start, end)
+    by_day = valid.withColumn("_day", F.explode(days))
+    on_day = F.col(time).cast("date") == F.col("_day")
+    inside = F.col(time).between(F.col(start), F.col(end))
+    return events.join(by_day, on_day & inside, "left").drop("_day", start, end)

@@ -60,34 +60,45 @@ def number_rows(
 ) -> DataFrame:
     """Add `name`: 1..n per key (row_number) by the block columns, then by `order`.
 
-    Rows that tie on both must be equal in all columns. A row with very many copies is
-    laid out in pieces, each a block of its own behind the other rows of its block, so
-    that several tasks write it.
+    Rows that tie on both must be equal in all columns. Each counted row gets the position
+    where its copies start; only then are very many copies cut into pieces, which are dealt
+    out so that several tasks write them.
     """
     columns = df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumns(block)
+    placed = count_before(counted, keys, list(block), order, "_copies", "_start")
     pieces = F.sequence(F.lit(0), int_div(F.col("_copies") - 1, F.lit(COPIES_PER_TASK)))
-    rest = F.col("_copies") - F.col("_piece") * COPIES_PER_TASK
-    counted = (
-        copies.withColumns(block)
-        .withColumn("_piece", F.explode(pieces))
-        .withColumn("_n", F.least(rest, F.lit(COPIES_PER_TASK)))
+    first = F.col("_start") + F.col("_piece") * COPIES_PER_TASK
+    last = F.least(first + COPIES_PER_TASK, F.col("_start") + F.col("_copies"))
+    cut = placed.withColumn("_piece", F.explode(pieces)).select(
+        *columns, "_piece", (first + 1).alias("_first"), last.alias("_last")
     )
-    placed = count_before(counted, keys, [*block, "_piece"], order, "_n", "_start")
-    positions = F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_n"))
-    return placed.select(*columns, F.explode(positions).alias(name))
+    dealt = cut.repartition("_piece", "_first", *keys)
+    return dealt.select(*columns, F.explode(F.sequence("_first", "_last")).alias(name))
 
 
 def rank_values(
     df: DataFrame, keys: list[str], value: str, width: int, name: str = "rn"
 ) -> DataFrame:
-    """(keys, value, rank, rows) for each distinct value, highest first; ties share a rank.
+    """Add `name`, the rank of the value in its keys, highest first, ties alike, and `rows`.
 
-    `width` is the value range of one block; `rows` counts all rows of the keys.
+    `width` is the value range of one block; `rows` counts all rows of the keys. Rows are
+    ranked inside their block and the blocks are offset by their sizes.
     """
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumns(
-        {"_down": -F.col(value), "_block": F.floor(-F.col(value) / width)}
+    leaf = F.struct(*keys, F.floor(-F.col(value) / width).alias("_block")).alias("_leaf")
+    keyed = df.select("*", leaf)
+    inside = F.rank().over(Window.partitionBy("_leaf").orderBy(F.desc(value)))
+    # The sizes look at all columns, so that they read the rows the ranks are made from.
+    sizes = keyed.groupBy("_leaf").agg(
+        F.count(F.lit(1)).alias("_size"), F.bit_or(F.xxhash64(*df.columns)).alias("_seen")
     )
-    ranked = count_before(counted, keys, ["_block"], ["_down"], "_n", name)
-    rank = (F.col(name) + 1).cast("int").alias(name)
-    return ranked.select(*keys, value, rank, F.col(f"{name}_all").alias("rows"))
+    parent = Window.partitionBy(*[f"_leaf.{k}" for k in keys])
+    earlier = parent.orderBy("_leaf._block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.filter(F.col("_seen").isNotNull()).select(
+        "_leaf",
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_skip"),
+        F.sum("_size").over(parent).alias("rows"),
+    )
+    ranked = keyed.withColumn("_inside", inside).join(offsets, "_leaf")
+    rank = (F.col("_inside") + F.col("_skip")).cast("int").alias(name)
+    return ranked.select(*df.columns, rank, "rows")

@@ -42,15 +42,22 @@ def billing_schedule(
     """One row per payment: at `start`, then monthly while more than a month is left.
 
     Each step adds a month to the previous payment, so a day cut at a short month
-    stays cut (31 Jan, 29 Feb, 29 Mar).
+    stays cut (31 Jan, 29 Feb, 29 Mar). The n-th payment is worked out from n: its month,
+    and the day cut to the shortest month since the start. Two years hold every month
+    length there is, so no more of them need a look.
     """
     limit = F.add_months(end, -1)
     steps = F.greatest(F.ceil(F.months_between(limit, start)).cast("int") + 1, F.lit(0))
-
-    def add_payment(paid: Column, _step: Column) -> Column:
-        latest = F.element_at(paid, -1)
-        longer = F.concat(paid, F.array(F.add_months(latest, 1)))
-        return F.when(repeats & (latest < limit), longer).otherwise(paid)
-
-    dates = F.aggregate(F.sequence(F.lit(0), steps), F.array(start), add_payment)
-    return df.select(*keys, F.explode(dates).alias(name))
+    months = F.sequence(F.lit(0), F.when(repeats, steps).otherwise(F.lit(0)))
+    first = F.trunc(F.col("_start"), "MM")
+
+    def payment(n: Column) -> Column:
+        passed = F.sequence(F.lit(0), F.least(n, F.lit(24)))
+        days = F.transform(passed, lambda j: F.dayofmonth(F.last_day(F.add_months(first, j))))
+        day = F.least(F.dayofmonth("_start"), F.array_min(days))
+        return F.date_add(F.add_months(first, n), day - 1)
+
+    n = F.col("_n")
+    due = df.select(*keys, start.alias("_start"), limit.alias("_limit"), F.explode(months).alias("_n"))
+    due = due.filter((n == 0) | (payment(F.greatest(n - 1, F.lit(0))) < F.col("_limit")))
+    return due.select(*keys, payment(n).alias(name))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import cut_ratio, decimal_avg, percent, ratio, truncated_avg
@@ -216,18 +216,28 @@ def _visit_facts(
 ) -> DataFrame:
     """Counts per user, visit and campaign, for visits that saw a product page.
 
-    Events are summed per visit, cookie and campaign before they meet the users.
+    Events are summed per visit, cookie and campaign before they meet the users; whether
+    the visit saw a product page is one more such sum, over events of no campaign as well.
     """
+    products = pages.filter(~F.col("page_id").isin(*PLAIN_PAGES)).select(
+        "page_id", F.lit(True).alias("product")
+    )
+    marked = events.join(products, "page_id", "left")
     names = ("view_count", "cart_count", "purchase", "impression", "click")
     kinds = (VIEW, ADD, PURCHASE, IMPRESSION, CLICK)
-    per_cookie = attribute(events, campaigns, "event_time", "start_date", "end_date").groupBy(
-        "visit_id", "cookie_id", "campaign_name"
-    ).agg(
+    placed = attribute(
+        marked, campaigns, "event_time", "start_date", "end_date", "campaign_name"
+    )
+    per_cookie = placed.groupBy("visit_id", "cookie_id", "campaign_name").agg(
         F.min("event_time").alias("visit_start_time"),
+        F.max("product").alias("product"),
         *[F.count_if(_is(kind)).alias(name) for kind, name in zip(kinds, names)],
     )
+    # A visit has a few cookies and campaigns, so its window is short.
+    saw = F.max("product").over(Window.partitionBy("visit_id"))
+    seen = per_cookie.withColumn("saw", saw).filter("saw AND campaign_name IS NOT NULL")
     return (
-        per_cookie.join(users, "cookie_id")
+        seen.join(users, "cookie_id")
         .groupBy("user_id", "visit_id", "campaign_name")
         .agg(
             F.min("visit_start_time").alias("visit_start_time"),
@@ -246,16 +256,6 @@ def campaign_visits(
     )
 
 
-def _visits(
-    events: DataFrame, users: DataFrame, pages: DataFrame, campaigns: DataFrame
-) -> DataFrame:
-    """campaign_visits without the text, which the user metrics do not need."""
-    product_pages = pages.filter(~F.col("page_id").isin(*PLAIN_PAGES)).select("page_id")
-    seen = events.join(product_pages, "page_id", "left_semi").select("visit_id").distinct()
-    facts = _visit_facts(events, users, pages, campaigns)
-    return facts.join(seen, "visit_id", "left_semi")
-
-
 def _campaigns_seen() -> Column:
     """Distinct campaigns of the user's visits that had an impression."""
     return F.count_distinct(F.when(F.col("impression") != 0, F.col("campaign_name")))
@@ -264,7 +264,7 @@ def _campaigns_seen() -> Column:
 def users_in_all_campaigns(
     events: DataFrame, users: DataFrame, pages: DataFrame, campaigns: DataFrame, n: int = 3
 ) -> DataFrame:
-    visits = _visits(events, users, pages, campaigns)
+    visits = _visit_facts(events, users, pages, campaigns)
     counts = visits.groupBy("user_id").agg(_campaigns_seen().alias("imp_count"))
     return counts.filter(F.col("imp_count") == n)
 
@@ -276,7 +276,7 @@ def impressed_vs_not(
 
     Whole-number averages drop the fraction at both levels, as written.
     """
-    per_user = _visits(events, users, pages, campaigns).groupBy("user_id").agg(
+    per_user = _visit_facts(events, users, pages, campaigns).groupBy("user_id").agg(
         (_campaigns_seen() == n).alias("impressed"),
         truncated_avg(F.col("view_count")).alias("vc"),
         truncated_avg(F.col("cart_count")).alias("cc"),
@@ -309,7 +309,7 @@ def click_purchase_rate(
     """Purchase and non-purchase share of the visits with one click."""
     clicked = F.col("click") == 1
     return cohort_compare(
-        _visits(events, users, pages, campaigns),
+        _visit_facts(events, users, pages, campaigns),
         {"click_user": F.col("purchase") == 1, "non_click_user": F.col("purchase") == 0},
         {"purchase_rate": lambda test: _rate(clicked & test, clicked)},
         "user_type",
@@ -327,7 +327,7 @@ def campaign_uplift(
     bought = F.col("purchase") == 1
     shown, clicked = F.col("impression") == 1, F.col("click") == 1
     return cohort_compare(
-        _visits(events, users, pages, campaigns),
+        _visit_facts(events, users, pages, campaigns),
         {
             "click_user": clicked & bought,
             "non_click_user": shown & (F.col("click") == 0) & bought,

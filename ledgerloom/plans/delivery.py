@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import minute_part, us_week
 from ..functions.numbers import int_div, percent, ratio
-from ..functions.text import clean_token, elements, list_size, present, unit_number
+from ..functions.text import (
+    clean_token,
+    element_numbers,
+    elements,
+    list_size,
+    present,
+    unit_number,
+)
 from ..operators.lists import render_list, tokenize_list
 from ..operators.positions import number_rows
 from ..operators.topn import not_in, top_n
@@ -35,7 +42,7 @@ def _minutes() -> Column:
 
 
 def _prep_minutes() -> Column:
-    pickup = clean_token(F.col("pickup_time")).cast("timestamp_ntz")
+    pickup = clean_token(F.col("pickup_time")).try_cast("timestamp_ntz")
     return minute_part(F.col("order_time"), pickup)
 
 
@@ -46,7 +53,8 @@ def _price(premium: Column | None) -> Column:
 
 def _speed() -> Column:
     """Kilometres per minute rounded to cents before the step to hours."""
-    return (ratio(_km(), _minutes(), 2) * 60).cast("decimal(18,2)")
+    minutes = unit_number(F.col("duration"), "decimal(10,2)")
+    return (ratio(_km(), minutes, 2) * 60).cast("decimal(18,2)")
 
 
 def _delivered(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
@@ -336,16 +344,28 @@ def _portions(
     2 if the topping is also an extra, 0 if excluded, else 1. `n` is the number of
     lines with that content, so hot pizzas meet the recipe once per content.
     """
-    contents = _cleaned(lines).groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("n"))
+    return _contents_portions(
+        _cleaned(lines).groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("n")),
+        pizza_recipes,
+        pizza_toppings,
+    )
+
+
+def _contents_portions(
+    contents: DataFrame, pizza_recipes: DataFrame, pizza_toppings: DataFrame
+) -> DataFrame:
     # Lists are split once per content, before the recipe multiplies the rows.
-    lists = {f"_{c}": elements(F.col(c)) for c in ("extras", "exclusions")}
-    rows = contents.withColumns(lists).join(pizza_recipes, "pizza_id")
+    lists = {f"_{c}": element_numbers(F.col(c)) for c in ("extras", "exclusions")}
+    # Looked up by a struct, which adds no NULL filter that would change the scan below.
+    recipes = pizza_recipes.select(F.struct("pizza_id").alias("_pizza"), "toppings")
+    rows = contents.withColumns(lists).withColumn("_pizza", F.struct("pizza_id"))
+    rows = rows.join(recipes, "_pizza")
     rows = tokenize_list(rows, "toppings", "part")
+    rows = rows.withColumn("topping_id", F.col("part").try_cast("int"))
     # NULL for a missing list, which counts as not listed.
-    extra, excluded = (F.array_contains(c, F.col("part")) for c in lists)
+    extra, excluded = (F.array_contains(c, F.col("topping_id")) for c in lists)
     times = F.when(extra, 2).when(excluded, 0).otherwise(1)
-    rows = rows.withColumns({"times": times, "topping_id": F.col("part").try_cast("int")})
-    return rows.join(pizza_toppings, "topping_id")
+    return rows.withColumn("times", times).join(pizza_toppings, "topping_id")
 
 
 def ingredient_usage(
@@ -363,7 +383,11 @@ def ingredient_list(
     customer_orders: DataFrame, pizza_recipes: DataFrame, pizza_toppings: DataFrame
 ) -> DataFrame:
     """Alphabetical ingredients per record, '2x' in front of those that are also extras."""
-    portions = _portions(customer_orders, pizza_recipes, pizza_toppings)
+    # The same counted lines as the records are numbered from, so both read one shuffle.
+    lines = _cleaned(customer_orders.select("order_id", *CONTENT))
+    counted = lines.groupBy("order_id", *CONTENT).agg(F.count(F.lit(1)).alias("copies"))
+    contents = counted.groupBy(*CONTENT).agg(F.sum("copies").alias("n")).filter(F.col("n") > 0)
+    portions = _contents_portions(contents, pizza_recipes, pizza_toppings)
     # Equality joins drop NULL lists, so the content key holds '' for them.
     keys = {c: F.coalesce(c, F.lit("")) for c in ("exclusions", "extras")}
     label = F.concat(F.when(F.col("times") == 2, "2x").otherwise(""), F.col("topping_name"))
@@ -418,7 +442,7 @@ def order_total_time(customer_orders: DataFrame, runner_orders: DataFrame) -> Da
     return orders.join(runs, "order_id").select("order_id", total).distinct()
 
 
-def _rated(runner_orders: DataFrame) -> DataFrame:
+def _rated(runner_orders: DataFrame, *columns: str) -> DataFrame:
     """Points by delivery time, and a repeatable 1-5 for the state of the pizza."""
     m = _minutes()
     points = (
@@ -433,6 +457,7 @@ def _rated(runner_orders: DataFrame) -> DataFrame:
         points.alias("delivery_time_pts"),
         condition.alias("pizza_condition"),
         int_div(points + condition, F.lit(2)).cast("int").alias("rating"),
+        *columns,
     )
 
 
@@ -455,14 +480,15 @@ def customer_order_counts(customer_orders: DataFrame) -> DataFrame:
 def delivery_fact(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """One row per delivered order with rating, times, speed and the customer's order count.
 
-    Orders and ratings are de-duplicated before they are joined, so the lines of an
-    order never pair up.
+    Lines are merged per order before the runs are joined, so they never pair up; the same
+    merged rows give the customer's total. An order has one run.
     """
-    orders = customer_orders.select("customer_id", "order_id", "order_time").distinct()
-    ratings = _rated(runner_orders).select("order_id", "rating").distinct()
+    orders = _lines_per_order(customer_orders)
+    totals = orders.groupBy("customer_id").agg(F.sum("lines").alias("total_orders"))
+    # A run is rated from its own row; only runs with a pickup time have a rating.
+    rated = _runs(_rated(runner_orders, "pickup_time", "distance", "duration"), "duration")
     facts = (
-        orders.join(_runs(runner_orders, "duration"), "order_id")
-        .join(ratings, "order_id")
+        orders.join(rated, "order_id")
         .select(
             "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
             _prep_minutes().alias("time_between_order_and_pickup"),
@@ -471,9 +497,7 @@ def delivery_fact(customer_orders: DataFrame, runner_orders: DataFrame) -> DataF
         )
         .distinct()
     )
-    return facts.join(customer_order_counts(customer_orders), "customer_id").select(
-        *facts.columns, "total_orders"
-    )
+    return facts.join(totals, "customer_id").select(*facts.columns, "total_orders")
 
 
 def earnings_with_distance(

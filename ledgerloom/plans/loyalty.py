@@ -70,10 +70,9 @@ def items_before_join(
 ) -> DataFrame:
     """Distinct items bought before joining; `last_only` keeps those of the last such day."""
     if last_only:
-        days = sales.select("customer_id", "order_date").distinct().join(members, "customer_id")
-        before = days.filter(F.col("order_date") < F.col("join_date"))
-        last = before.groupBy("customer_id").agg(F.max("order_date").alias("order_date"))
-        bought = sales.distinct().join(last, ["customer_id", "order_date"], "left_semi")
+        bought = sales.select("customer_id", "order_date", "product_id").distinct()
+        before = bought.join(members, "customer_id").filter(F.col("order_date") < F.col("join_date"))
+        bought = leaders(before, ["customer_id"], "order_date")
     else:
         bought = (
             sales.groupBy("customer_id", "product_id")

@@ -22,7 +22,7 @@ MAP_COLUMNS = ["interest_name", "interest_summary", "created_at", "last_modified
 
 def _named(metrics: DataFrame, interest_map: DataFrame, how: str = "inner") -> DataFrame:
     return metrics.join(
-        interest_map, F.col("interest_id").cast("bigint") == F.col("id"), how
+        interest_map, F.col("interest_id").try_cast("bigint") == F.col("id"), how
     )
 
 
@@ -48,7 +48,7 @@ def drop_null_months(metrics: DataFrame) -> DataFrame:
 
 
 def reconcile_ids(metrics: DataFrame, interest_map: DataFrame) -> DataFrame:
-    ids = metrics.select(F.col("interest_id").cast("bigint").alias("interest_id"))
+    ids = metrics.select(F.col("interest_id").try_cast("bigint").alias("interest_id"))
     missing = reconcile_keys(interest_map, ids, "id", "interest_id")
     flags = {"total_not_in_map": "left_key", "total_not_in_metric": "right_key"}
     return missing.agg(
@@ -103,11 +103,15 @@ def rows_below_threshold(metrics: DataFrame, months: int) -> DataFrame:
 
 
 def interests_per_month(metrics: DataFrame, more_than: int) -> DataFrame:
-    """Rows per month of interests with more than so many rows (not distinct months)."""
-    wide = metrics.groupBy("interest_id").agg(F.count("interest_id").alias("n"))
-    wide = wide.filter(F.col("n") > more_than)
-    kept = drop_null_months(metrics).join(wide, "interest_id", "left_semi")
-    counts = kept.groupBy("month_year").agg(F.count("interest_id").alias("number_of_interests"))
+    """Rows per month of interests with more than so many rows (not distinct months).
+
+    An interest has one row per month, so its window is short and saves a second pass.
+    """
+    own = F.count("interest_id").over(Window.partitionBy("interest_id"))
+    wide = metrics.withColumn("_rows", own).filter(F.col("_rows") > more_than)
+    counts = drop_null_months(wide).groupBy("month_year").agg(
+        F.count("interest_id").alias("number_of_interests")
+    )
     return counts.orderBy("month_year")
 
 
@@ -205,7 +209,9 @@ def percentile_extremes(
     if five_only or per_interest:
         kept = named.filter((value == F.col("lo")) | (value == F.col("hi")))
     else:
-        ends = F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("e")
+        # Looks at all columns, so that it reads the rows that are filtered by it.
+        seen = F.bit_or(F.xxhash64(*named.columns)).alias("seen")
+        ends = F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"), seen).alias("e")
         end = named.agg(ends).scalar()
         kept = named.filter((value == end["lo"]) | (value == end["hi"]))
     return kept.orderBy("interest_id", "percentile_ranking").select(

@@ -60,11 +60,16 @@ def week_numbers_present(clean: DataFrame) -> DataFrame:
     return clean.select("week_number").distinct().orderBy("week_number")
 
 
-def missing_weeks(clean: DataFrame) -> DataFrame:
-    """Weeks 1 to 53 that have no row."""
-    weeks = clean.sparkSession.range(1, 54).select(F.col("id").cast("int").alias("week_number"))
-    present = clean.select("week_number").distinct()
-    return weeks.join(present, "week_number", "left_anti").orderBy("week_number")
+def missing_weeks(clean: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Weeks 1 to 53 that have no row, in all or in each group that has rows."""
+    key = [*by, "week_number"]
+    present = clean.select(*key).distinct()
+    if not by:
+        weeks = clean.sparkSession.range(1, 54).select(F.col("id").cast("int").alias("week_number"))
+    else:
+        year = F.sequence(F.lit(1), F.lit(53))
+        weeks = present.select(*by).distinct().withColumn("week_number", F.explode(year))
+    return weeks.join(present, key, "left_anti").orderBy(*key)
 
 
 def tx_by_year(clean: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from .sources import loyalty as r_in
 from .sources import segments as i_in
 from .sources import subscriptions as s_in
 from .sources import weekly as w_in
+from .sources.tables import declared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +35,9 @@ def _resolved(options: dict) -> dict:
 def _loyalty() -> dict[str, Query]:
     def job(function, inputs: str, **options) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            tables = [getattr(r_in, name)(spark, folder) for name in inputs.split()]
+            tables = [
+                declared(getattr(r_in, name)(spark, folder), name) for name in inputs.split()
+            ]
             return function(*tables, **_resolved(options))
 
         return run
@@ -71,7 +74,7 @@ def _delivery() -> dict[str, Query]:
             tables = [
                 d_in.pizza_toppings(spark)
                 if name == "pizza_toppings"
-                else getattr(d_in, name)(spark, folder)
+                else declared(getattr(d_in, name)(spark, folder), name)
                 for name in inputs.split()
             ]
             result = function(*tables, **_resolved(options))
@@ -150,8 +153,9 @@ def _subscriptions() -> dict[str, Query]:
 
     def job(function, with_plans: bool = True, **options) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            plans = [s_in.plans(spark)] if with_plans else []
-            return function(s_in.subscriptions(spark, folder), *plans, **options)
+            plans = [declared(s_in.plans(spark), "plans")] if with_plans else []
+            rows = declared(s_in.subscriptions(spark, folder), "subscriptions")
+            return function(rows, *plans, **options)
 
         return run
 
@@ -201,7 +205,8 @@ def _weekly() -> dict[str, Query]:
 
     def job(function, **options) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            clean = weekly.clean_weekly_sales(w_in.weekly_sales(spark, folder))
+            sales = declared(w_in.weekly_sales(spark, folder), "weekly_sales")
+            clean = weekly.clean_weekly_sales(sales)
             return function(clean, **options)
 
         return run
@@ -211,6 +216,9 @@ def _weekly() -> dict[str, Query]:
         "w02_weekday_names": job(weekly.weekday_names),
         "w03_week_numbers_present": job(weekly.week_numbers_present),
         "w03_missing_weeks": job(weekly.missing_weeks),
+        "w03_missing_weeks_per_year_region": job(
+            weekly.missing_weeks, by=("calendar_year", "region")
+        ),
         "w04_tx_by_year": job(weekly.tx_by_year),
         "w05_sales_region_month": job(weekly.sales_region_month),
         "w06_tx_by_platform": job(weekly.tx_by_platform),
@@ -240,7 +248,12 @@ def _clickstream() -> dict[str, Query]:
     def job(function, inputs: str, **options) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             tables = [
-                getattr(c_in, name)(spark) if name in small else getattr(c_in, name)(spark, folder)
+                declared(
+                    getattr(c_in, name)(spark)
+                    if name in small
+                    else getattr(c_in, name)(spark, folder),
+                    name,
+                )
                 for name in inputs.split()
             ]
             return function(*tables, **options)
@@ -291,12 +304,14 @@ def _segments() -> dict[str, Query]:
     ) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             metrics = i_in.interest_metrics(spark, folder, ranks)
+            if ranks:
+                declared(metrics, "interest_metrics")
             if not nulls:
                 metrics = segments.drop_null_months(metrics)
             metrics = segments.month_year_to_date(metrics)
             if filtered:
                 metrics = segments.filtered_metrics(metrics, months)
-            maps = [i_in.interest_map(spark, folder)] if with_map else []
+            maps = [declared(i_in.interest_map(spark, folder), "interest_map")] if with_map else []
             return function(metrics, *maps, **options)
 
         return run

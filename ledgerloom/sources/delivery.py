@@ -78,7 +78,7 @@ def runner_orders(spark: SparkSession, folder: str) -> DataFrame:
     reason = F.when(key % 20 == 0, "Restaurant Cancellation").otherwise("Customer Cancellation")
     return orders.select(
         key.alias("order_id"),
-        (F.col("o_custkey") % 10 + 1).alias("runner_id"),
+        (F.col("o_custkey") + 1).alias("runner_id"),
         F.when(cancelled, "null").otherwise(_text(pickup))
         .alias("pickup_time"),
         F.when(cancelled, "null").otherwise(distance).alias("distance"),

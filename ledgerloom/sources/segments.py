@@ -53,7 +53,7 @@ def interest_metrics(spark: SparkSession, folder: str, ranks: bool = True) -> Da
     keyed = metrics.withColumn("_month", F.coalesce("month_year", F.lit("")))
     ranked = rank_values(keyed, ["_month"], "composition", RANK_BLOCK, "ranking")
     below = ratio(F.col("ranking"), F.col("rows"), 2, times=100)
-    return keyed.join(ranked, ["_month", "composition"]).select(
+    return ranked.select(
         *metrics.columns,
         "ranking",
         (F.lit(100) - below).cast(MONEY).alias("percentile_ranking"),

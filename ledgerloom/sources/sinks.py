@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
@@ -25,4 +26,18 @@ def append_table(df: DataFrame, path: str, columns: list[str]) -> str:
 
 def append_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
     """The table with literal rows added, columns by position."""
-    return df.union(df.sparkSession.createDataFrame(rows, df.schema))
+    return df.union(literal_rows(df, rows))
+
+
+def literal_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
+    """Rows as literals with the columns and types of the table; a relation Spark knows the size of."""
+    spark, fields = df.sparkSession, df.schema.fields
+    cells = [
+        F.array(
+            *[
+                F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+                for row in rows
+            ]
+        ).alias("row")
+    ]
+    return spark.sql("SELECT 1").select(*cells).select(F.inline("row"))

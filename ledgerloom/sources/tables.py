@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Columns of the stored tables.
 STORED = {
@@ -57,6 +58,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(STORED[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def declared(df: DataFrame, name: str) -> DataFrame:
+    """The job input, if its columns and types are the declared ones."""
+    found = [(f.name, f.dataType) for f in df.schema]
+    wanted = [(f.name, f.dataType) for f in T.StructType.fromDDL(INPUTS[name])]
+    if found != wanted:
+        raise TypeError(f"{name}: {found} is not {wanted}")
+    return df
+
+
 def inline_table(spark: SparkSession, name: str, rows: list[tuple]) -> DataFrame:
     """Literal rows cast to the declared schema of a job input."""
     return spark.createDataFrame(rows, INPUTS[name])
