@@ -161,7 +161,7 @@ def marked(rows: DataFrame) -> DataFrame:
             lone = held is not None
             if lone:
                 batch = pa.Table.from_batches([held[0], batch]).combine_chunks().to_batches()[0]
-            key, told, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 4))
+            key, told, id_, start, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             new_key = np.concatenate(([True], key[1:] != key[:-1]))
             first = new_key | np.concatenate(([True], told[1:] != told[:-1]))
             at = np.flatnonzero(first)
@@ -173,7 +173,10 @@ def marked(rows: DataFrame) -> DataFrame:
             more |= n[at] > 1000
             held = (batch.slice(int(at[-1]), 1), bool(others[-1]))
             contested = at[:-1][more[:-1]]
-            yield from told_rows(batch, np.flatnonzero(~first), True)
+            # the same place again is a repeated row, not a repeated text
+            origin = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+            later = (id_ != id_[origin]) | (start != start[origin])
+            yield from told_rows(batch, np.flatnonzero(later), True)
             yield from told_rows(batch, contested, False)
         if held is not None and (held[1] or held[0].column(4)[0].as_py() > 1000):
             yield from told_rows(held[0], np.array([0]), False)
