@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import int_div
+from .sharing import read_alike
 
 # Copies of one row that a task writes out at most.
 COPIES_PER_TASK = 100_000
@@ -86,15 +87,13 @@ def rank_values(
     ranked inside their block and the blocks are offset by their sizes.
     """
     leaf = F.struct(*keys, F.floor(-F.col(value) / width).alias("_block")).alias("_leaf")
-    keyed = df.select("*", leaf)
+    # The sizes are counted from the very rows that are ranked.
+    keyed = read_alike(df).select("*", leaf)
     inside = F.rank().over(Window.partitionBy("_leaf").orderBy(F.desc(value)))
-    # The sizes look at all columns, so that they read the rows the ranks are made from.
-    sizes = keyed.groupBy("_leaf").agg(
-        F.count(F.lit(1)).alias("_size"), F.bit_or(F.xxhash64(*df.columns)).alias("_seen")
-    )
+    sizes = keyed.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_size"))
     parent = Window.partitionBy(*[f"_leaf.{k}" for k in keys])
     earlier = parent.orderBy("_leaf._block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.filter(F.col("_seen").isNotNull()).select(
+    offsets = sizes.select(
         "_leaf",
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_skip"),
         F.sum("_size").over(parent).alias("rows"),

@@ -22,6 +22,7 @@ from ..functions.text import (
 )
 from ..operators.lists import render_list, tokenize_list
 from ..operators.positions import number_rows
+from ..operators.sharing import read_alike
 from ..operators.topn import not_in, top_n
 from ..sources.sinks import append_rows
 
@@ -393,8 +394,12 @@ def ingredient_list(
     label = F.concat(F.when(F.col("times") == 2, "2x").otherwise(""), F.col("topping_name"))
     used = portions.filter(F.col("times") > 0).withColumns({**keys, "label": label})
     texts = render_list(used, CONTENT, ["topping_name"], "label", "ingredients")
-    records = _content_records(customer_orders).withColumns(keys)
-    return records.join(texts, CONTENT, "left").select("record_id", "ingredients")
+    # Looked up by a struct, so that no NULL test reaches only one of both readers of the lines.
+    content = F.struct(*CONTENT).alias("_content")
+    records = _content_records(customer_orders).withColumns(keys).select("record_id", content)
+    return records.join(texts.select(content, "ingredients"), "_content", "left").select(
+        "record_id", "ingredients"
+    )
 
 
 def ingredient_usage_delivered(
@@ -483,12 +488,16 @@ def delivery_fact(customer_orders: DataFrame, runner_orders: DataFrame) -> DataF
     Lines are merged per order before the runs are joined, so they never pair up; the same
     merged rows give the customer's total. An order has one run.
     """
-    orders = _lines_per_order(customer_orders)
-    totals = orders.groupBy("customer_id").agg(F.sum("lines").alias("total_orders"))
+    orders = read_alike(_lines_per_order(customer_orders))
+    totals = orders.groupBy(F.col("customer_id").alias("_customer")).agg(
+        F.sum("lines").alias("total_orders")
+    )
     # A run is rated from its own row; only runs with a pickup time have a rating.
     rated = _runs(_rated(runner_orders, "pickup_time", "distance", "duration"), "duration")
+    rated = rated.filter(F.col("order_id").isNotNull()).withColumnRenamed("order_id", "_order")
+    # Null-safe joins, so that no NULL test reaches only one of both readers of the orders.
     facts = (
-        orders.join(rated, "order_id")
+        orders.join(rated, F.col("order_id").eqNullSafe(F.col("_order")))
         .select(
             "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
             _prep_minutes().alias("time_between_order_and_pickup"),
@@ -497,7 +506,8 @@ def delivery_fact(customer_orders: DataFrame, runner_orders: DataFrame) -> DataF
         )
         .distinct()
     )
-    return facts.join(totals, "customer_id").select(*facts.columns, "total_orders")
+    known = F.col("customer_id").eqNullSafe(F.col("_customer"))
+    return facts.join(totals, known).select(*facts.columns, "total_orders")
 
 
 def earnings_with_distance(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import int_div
 from ..operators.positions import number_rows
+from ..operators.sharing import read_alike
 from ..operators.topn import first_per_key, leaders, top_n
 
 # Products of one block when a customer's orders of a day are numbered.
@@ -72,14 +73,17 @@ def items_before_join(
     if last_only:
         bought = sales.select("customer_id", "order_date", "product_id").distinct()
         before = bought.join(members, "customer_id").filter(F.col("order_date") < F.col("join_date"))
-        bought = leaders(before, ["customer_id"], "order_date")
-    else:
-        bought = (
-            sales.groupBy("customer_id", "product_id")
-            .agg(F.min("order_date").alias("order_date"))
-            .join(members, "customer_id")
-            .filter(F.col("order_date") < F.col("join_date"))
-        )
+        last = leaders(read_alike(before), ["customer_id"], "order_date")
+        # Null-safe, so that no NULL test on the product reaches only one of both readers.
+        names = menu.select(F.col("product_id").alias("_id"), "product_name")
+        named = last.join(names, F.col("product_id").eqNullSafe(F.col("_id")))
+        return named.select("customer_id", "product_name").distinct().orderBy(*BY_CUSTOMER)
+    bought = (
+        sales.groupBy("customer_id", "product_id")
+        .agg(F.min("order_date").alias("order_date"))
+        .join(members, "customer_id")
+        .filter(F.col("order_date") < F.col("join_date"))
+    )
     named = _named(bought, menu).select("customer_id", "product_name").distinct()
     return named.orderBy(*BY_CUSTOMER)
 

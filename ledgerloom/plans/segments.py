@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_start
 from ..functions.numbers import cut_ratio, decimal_avg, ratio
 from ..operators.coverage import coverage, cumulative_share, reconcile_keys, rolling_avg
+from ..operators.sharing import read_alike
 from ..operators.topn import top_n, top_n_with_ties
 
 MAP_COLUMNS = ["interest_name", "interest_summary", "created_at", "last_modified"]
@@ -209,10 +210,9 @@ def percentile_extremes(
     if five_only or per_interest:
         kept = named.filter((value == F.col("lo")) | (value == F.col("hi")))
     else:
-        # Looks at all columns, so that it reads the rows that are filtered by it.
-        seen = F.bit_or(F.xxhash64(*named.columns)).alias("seen")
-        ends = F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"), seen).alias("e")
-        end = named.agg(ends).scalar()
+        # The ends are taken from the very rows that are filtered by them.
+        named = read_alike(named)
+        end = named.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
         kept = named.filter((value == end["lo"]) | (value == end["hi"]))
     return kept.orderBy("interest_id", "percentile_ranking").select(
         "month_year", "interest_name", "percentile_ranking"

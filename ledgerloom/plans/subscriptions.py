@@ -118,7 +118,8 @@ def annual_upgrades(
 def _days_to_annual(subscriptions: DataFrame) -> DataFrame:
     """Days from the trial to the annual start of each customer that has both.
 
-    One row per customer and plan, so one aggregate takes the place of a self-join.
+    By contract a customer starts a plan once, so one aggregate takes the place of a self-join;
+    of repeated starts the earliest counts, where a self-join would pair them all.
     """
 
     def start(plan: int) -> Column:
