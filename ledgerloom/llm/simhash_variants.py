@@ -11,6 +11,12 @@ quarters, then two eighths, again with one bit left out. After that 53 bits are
 most 2,048 different fingerprints, so no bucket grows with the data and no link is lost. Buckets give
 the links of a spanning tree, not all their pairs; components need no more.
 
+`near_copies` finds texts that share most of their shingles, not just nearly all. Three fingerprints of other seeds
+make 192 bits, and the share of bits that differ estimates the similarity of the shingle sets; pairs whose
+distance is within a standard deviation of that of a similarity of `SIMILARITY`, or nearer, are linked. They are indexed the same way in nine segments with one
+bit left out each. A key that more than `BUCKET` texts share is cut into blocks, and pairs of blocks are compared as
+separate groups, so no pair that shares a key is left out.
+
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of
 fewer words than a shingle is one shingle; rows with equal doc_id are one document; a null doc_id
 takes part and has the smallest id. Other columns are ignored.
@@ -33,9 +39,14 @@ ALL = 2**64 - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Shingles that are hashed at once, to keep memory bounded on very long texts.
 CHUNK = 1 << 18
+#: Similarity of the shingle sets (shared over all) from which `near_copies` links, and its number of fingerprints.
+SIMILARITY = 0.8
+WIDTH = 3
+#: First bit and width of the segments of each of them.
+SEGMENTS = ((0, 21), (21, 21), (42, 22))
 
 
-def fingerprint(text: str | None, words: int) -> int:
+def fingerprint(text: str | None, words: int, seed: int = SEED) -> int:
     """The 64-bit fingerprint of one whole text."""
     parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not parts:
@@ -49,7 +60,7 @@ def fingerprint(text: str | None, words: int) -> int:
     digest = xxhash.xxh64_intdigest
     for k in range(0, n, CHUNK):
         hashes = np.array(
-            [digest(joined[i:j], SEED) for i, j in zip(first[k : k + CHUNK], last[k : k + CHUNK])],
+            [digest(joined[i:j], seed) for i, j in zip(first[k : k + CHUNK], last[k : k + CHUNK])],
             dtype="<u8",
         )
         bytes_ = hashes.view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
@@ -109,6 +120,12 @@ def shared(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "key")
 
 
+def distance(many: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Differing bits; a row of several fingerprints counts all of them."""
+    found = np.bitwise_count(many ^ one)
+    return found if found.ndim == 1 else found.sum(1)
+
+
 def spanning(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links that connect the fingerprints of one bucket as all pairs within `bits` would."""
     left, links = np.arange(1, len(fps)), []
@@ -118,7 +135,7 @@ def spanning(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
             queue.append(int(left[0]))
             left = left[1:]
         at = queue.pop()
-        near = np.bitwise_count(fps[left] ^ fps[at]) <= bits
+        near = distance(fps[left], fps[at]) <= bits
         links += [(at, int(x)) for x in left[near]]
         queue += left[near].tolist()
         left = left[~near]
@@ -182,8 +199,80 @@ def query(docs: DataFrame) -> DataFrame:
     )
 
 
+def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(id, f) of every row; f holds `WIDTH` fingerprints."""
+
+    def batches(found):
+        for batch in found:
+            rows = [
+                [fingerprint(x, words, SEED + i) for i in range(WIDTH)] for x in batch.column(1).to_pylist()
+            ]
+            fps = np.array(rows, np.uint64).reshape(-1).view(np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(0, len(fps) + 1, WIDTH, dtype=np.int32), pa.array(fps))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "f"])
+
+    rows = docs.select(row_id().alias("id"), F.col("text").cast("string"))
+    return rows.mapInArrow(batches, "id long, f array<long>")
+
+
+def wide_bits(similarity: float) -> int:
+    """Differing bits of all fingerprints that sets of this similarity have, plus one standard deviation."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(64 * WIDTH * share + np.sqrt(64 * WIDTH * share * (1 - share)))
+
+
+def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): links among nodes (node, f) that connect all linked ones that share a key."""
+    masks = [m for start, size in SEGMENTS for m in one_wildcard(start, size)]
+    keys = [
+        F.xxhash64(F.lit(i), F.lit(signed(m)), F.get("f", F.lit(i)).bitwiseAND(F.lit(signed(m))))
+        for i in range(WIDTH)
+        for m in masks
+    ]
+    spread = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = shared(nodes.repartition(spread).select("node", F.explode(F.array(*keys)).alias("key")))
+    blocks = F.ceil(F.col("n") / bucket).cast("int")
+    cut = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    full = cut.join(nodes.select("node", "f"), "node")
+    groups = full.groupBy("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    lists = groups.agg(F.collect_list(F.struct("node", "f")).alias("own")).select("own")
+
+    def batches(found):
+        for batch in found:
+            own = batch.column(0)
+            rows = own.flatten()
+            node = rows.field("node").to_numpy(zero_copy_only=False)
+            f = rows.field("f").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WIDTH)
+            at = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy())))
+            size = np.diff(at)
+            two = at[:-1][size == 2]
+            near = np.bitwise_count(f[two] ^ f[two + 1]).sum(1) <= bits
+            out = [np.stack([node[two[near]], node[two[near] + 1]], 1)]
+            for i in np.flatnonzero(size > 2):
+                pairs = spanning(f[at[i] : at[i + 1]], bits)
+                if pairs:
+                    out.append(node[at[i] : at[i + 1]][np.array(pairs)])
+            pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return lists.mapInArrow(batches, "a long, b long")
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, component): the smallest id reachable by links between similar texts, for every row."""
+    rows = stored(wide_fingerprints(docs, words).select("id", "f", F.xxhash64("f").alias("node")))
+    nodes = stored(rows.groupBy("node").agg(F.min("id").alias("first"), F.any_value("f").alias("f")))
+    roots = components(wide_links(nodes, wide_bits(similarity)))
+    named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("component"))
+    of = named.join(smallest, "root").select("node", "component")
+    return rows.join(of, "node").select("id", "component")
+
+
 def keep_first(docs: DataFrame, words: int = 5) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id."""
-    found = near_duplicates(docs, words)
+    """One document of each group of similar texts stays: the one with the smallest doc_id."""
+    found = near_copies(docs, words)
     gone = found.where("id != component").select(F.col("id").alias("_gone")).distinct()
     return docs.join(gone, row_id() == F.col("_gone"), "left_anti")

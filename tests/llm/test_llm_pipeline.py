@@ -23,7 +23,7 @@ def test_stages_take_effect(spark):
     ids = [sorted(r["doc_id"] for r in df.collect()) for df in out]
     kept = {r["doc_id"] for r in quality_rules.query(docs, labels).collect() if r["kept"]}
     assert set(ids[1]) == kept
-    groups = simhash_variants.near_duplicates(out[1], 5).collect()
+    groups = simhash_variants.near_copies(out[1]).collect()
     assert ids[2] == sorted({r["component"] for r in groups})
     assert ids[3] == ids[2] and secret_grammars.query(out[3]).where("n_assign + n_access + n_hex > 0").count() == 0
     assert set(ids[4]) == set(ids[3]) and len(ids[4]) > len(ids[3])

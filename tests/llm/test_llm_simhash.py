@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import simhash_variants as simhash
 
@@ -78,6 +79,26 @@ def test_clouds_of_fingerprints(spark, bucket):
     assert [top(v) for v in signed] == smallest(signed, values)
 
 
+def test_near_copies_of_long_texts(spark):
+    """A word in a hundred changed: found; half of the text changed: not."""
+    draw = random.Random(9)
+    rows = []
+    for i in range(0, 60, 3):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+        other = list(words)
+        for at in range(50, 400, 100):
+            other[at] = "changed"
+        far = words[:200] + [f"x{draw.randrange(10**6)}" for _ in range(200)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other)), (i + 2, " ".join(far))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for bucket in (simhash.BUCKET, 1):
+        nodes = simhash.wide_fingerprints(df, 5).select(F.col("id").alias("node"), "f")
+        found = {(r["a"], r["b"]) for r in simhash.wide_links(nodes, simhash.wide_bits(0.8), bucket).collect()}
+        assert found == {(i, i + 1) for i in range(0, 60, 3)}
+    kept = sorted(r["doc_id"] for r in simhash.keep_first(df).collect())
+    assert kept == sorted(set(range(60)) - set(range(1, 60, 3)))
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, " \t\n", "x"), (4, "One two", "x"), (5, "one TWO", "y"), (6, "é", "z")]
     rows += [(7, "w " * 300_000, "z"), (7, "w " * 300_000, "z"), (None, "one  two", "z")]
