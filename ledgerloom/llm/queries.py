@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerloom.llm import (
+    checks,
     language_centroids,
     line_blocks,
     projection_forest,
@@ -76,4 +77,4 @@ QUERIES = {
     )
 }
 
-SQL = {}
+SQL = checks.SQL
