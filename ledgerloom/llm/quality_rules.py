@@ -204,10 +204,10 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are kept, with all their columns."""
-    gone = verdicts(docs, labels).where("NOT kept").select(F.col("id").alias("_gone"), "text_hash").distinct()
-    return docs.join(gone.withColumnRenamed("text_hash", "_hash"), same_row(), "left_anti")
-
-
-def same_row() -> Column:
+    gone = verdicts(docs, labels).where("NOT kept").select(F.col("id").alias("gone"), "text_hash").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64(text) == F.col("_hash"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("hash"), F.struct("*").alias("doc")
+    )
+    same = F.col("id").eqNullSafe(F.col("gone")) & (F.col("hash") == F.col("text_hash"))
+    return rows.join(gone, same, "left_anti").select("doc.*")

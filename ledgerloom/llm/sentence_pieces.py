@@ -13,7 +13,8 @@ path parameter and travels with the tasks.
 
 Defined cases: null gives null ids, empty text gives an empty list; decoding null gives null; a literal
 U+2581 in a text is a blank to the vocabulary and decodes to one; bytes that are no UTF-8 decode to
-U+FFFD. Other columns pass through.
+U+FFFD. Other columns pass through; columns that
+have the names of new ones are replaced.
 """
 
 from __future__ import annotations
@@ -262,7 +263,7 @@ def parts(batches, column: int):
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", check: bool = False) -> DataFrame:
     """All columns but the text, with ids and, if asked for, whether they decode to the text."""
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, "ids", "round_trip")]
     fields = [docs.schema[c] for c in rest] + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     fields += [T.StructField("round_trip", T.BooleanType())] if check else []
 
@@ -287,7 +288,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", check: b
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
     """All columns but the ids, with their text."""
-    rest = [c for c in rows.columns if c != ids]
+    rest = [c for c in rows.columns if c not in (ids, "text")]
     schema = T.StructType([rows.schema[c] for c in rest] + [T.StructField("text", T.StringType())])
 
     def batches(found):

@@ -274,5 +274,6 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY)
 def keep_first(docs: DataFrame, words: int = 5) -> DataFrame:
     """One document of each group of similar texts stays: the one with the smallest doc_id."""
     found = near_copies(docs, words)
-    gone = found.where("id != component").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, row_id() == F.col("_gone"), "left_anti")
+    gone = found.where("id != component").select("id").distinct()
+    rows = docs.select(row_id().alias("id"), F.struct("*").alias("doc"))
+    return rows.join(gone, "id", "left_anti").select("doc.*")

@@ -174,10 +174,12 @@ def slim_rows(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, repeats=REPEATS, target_entropy=None, budget=None) -> DataFrame:
     """The documents, all columns, each as often as its source's weight asks for."""
     plan = source_plan(stored(slim_rows(docs)), repeats, target_entropy, budget)
-    rows = docs.withColumns(
-        {"_id": F.col("doc_id").cast("long"), "_source": F.col("source").cast("string")}
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("_id"),
+        F.col("source").cast("string").alias("_source"),
+        F.struct("*").alias("_doc"),
     )
-    return appearances(rows, plan).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return appearances(rows, plan).select("_doc.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -228,7 +228,7 @@ def test_automaton_learns_a_format(spark):
     assert sum(score(key()) for _ in range(200)) >= 180
     assert not any(score(x) for x in ("internationalization2024", "https.//example.com/a-long/path_1", "Q" * 40))
     rows = [(i, f'text token = "{key()}" more', "a") for i in range(60)] + [(100, "ERROR " + "A" + key()[1:], "a")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars string").drop("n_chars")
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     clean = {r["doc_id"]: r["text"] for r in secret_grammars.redact(df).collect()}
     assert all(clean[i] == 'text [assign]" more' for i in range(60))
 
@@ -263,7 +263,9 @@ def test_quality_counts_and_risk(spark, docs):
         r = out[id_]
         assert (*[r[c] for c in quality_rules.COUNTS], r["base_failed"]) == plain_counts(text), id_
         assert not (r["base_failed"] and r["kept"])
-    assert quality_rules.keep(df, labels).count() == sum(r["kept"] for r in out.values())
+    clash = df.withColumns({"id": df["doc_id"] * 2, "gone": df["lang"], "hash": df["lang"], "doc": df["lang"]})
+    kept = quality_rules.keep(clash, labels)
+    assert kept.columns == clash.columns and kept.count() == sum(r["kept"] for r in out.values())
     assert quality_rules.query(df.limit(0), labels).count() == 0
     bare = quality_rules.query(df, labels.limit(0)).collect()
     assert all(r["kept"] != r["base_failed"] for r in bare)
@@ -329,7 +331,7 @@ def test_pieces_equal_the_encoder(spark, docs):
     odd = ["", " ", "  a  b\n\tc ", "a" * 1000, "é\x00ß ﬁ １😀 x▁y   z      ", " " * 40 + "hello", " \n \n", "\r\n the  the", "abc" * 20_000]
     odd += ["".join(draw.choice("abcthe  \n.é=0") for _ in range(draw.randint(0, 60))) for _ in range(300)]
     rows = [(r["doc_id"], r["text"], 1) for r in docs.collect()] + [(10_000 + i, t, 1) for i, t in enumerate(odd)] + [(1, None, 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, ids int").drop("ids")
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
     coded = sentence_pieces.encode(df, vocabulary)
     texts = Counter((i, t) for i, t, _ in rows)
     for r in coded.collect():
