@@ -124,28 +124,37 @@ def parts(batches, column: int):
                 yield batch.slice(a, b - a)
 
 
+def sections(text: np.ndarray, ends: np.ndarray):
+    """(text, ends, place in the text): as given, or one very long text cut between windows."""
+    if len(ends) > 1 or len(text) <= 2 * PART:
+        yield text, ends, 0
+        return
+    for at in range(0, len(text) - LENGTH + 1, PART):
+        part = text[at : at + PART + LENGTH - 1]
+        yield part, np.array([len(part)]), at
+
+
 def run_rows(texts: DataFrame) -> DataFrame:
     """key, told, id, start, n, twice of every run."""
 
     def batches(found):
         for batch in parts(found, 1):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            text, ends = texts_of(batch.column(1))
-            begin, size, key, told, twice = runs(text, ends)
-            if not len(begin):
-                continue
-            of = np.searchsorted(ends, begin, "right")
-            start = begin - np.concatenate(([0], ends[:-1]))[of]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64)),
-                    pa.array(told.view(np.int64)),
-                    pa.array(ids[of]),
-                    pa.array(start),
-                    pa.array((size + 1000 * twice).astype(np.int32)),
-                ],
-                names=["key", "told", "id", "start", "n"],
-            )
+            whole, whole_ends = texts_of(batch.column(1))
+            for text, ends, shift in sections(whole, whole_ends):
+                begin, size, key, told, twice = runs(text, ends)
+                of = np.searchsorted(ends, begin, "right")
+                start = begin - np.concatenate(([0], ends[:-1]))[of] + shift
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key.view(np.int64)),
+                        pa.array(told.view(np.int64)),
+                        pa.array(ids[of]),
+                        pa.array(start),
+                        pa.array((size + 1000 * twice).astype(np.int32)),
+                    ],
+                    names=["key", "told", "id", "start", "n"],
+                )
 
     return texts.mapInArrow(batches, "key long, told long, id long, start long, n int")
 
@@ -279,7 +288,7 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated(rows: list[tuple]) -> list[tuple[int, int, int]]:
     """(id, start, n) of the repeating windows among the slices of whole keys."""
-    rows = sorted(rows)
+    rows = sorted(set(rows))  # repeated rows of a table are one text
     index, out = Levels(), []
     for i in range(0, len(rows), BATCH):
         own = rows[i : i + BATCH]

@@ -52,9 +52,10 @@ def passages():
     return rows + [(5000, None), (5001, ""), (5002, "a" * 1000), (5003, "\0" * 500)]
 
 
-@pytest.mark.parametrize("share", [512, 4])
-def test_equals_brute_force(spark, passages, monkeypatch, share):
+@pytest.mark.parametrize(("share", "part"), [(512, 2_000_000), (4, 2_000_000), (512, 150)])
+def test_equals_brute_force(spark, passages, monkeypatch, share, part):
     monkeypatch.setattr(suffix_levels, "SHARE", share)
+    monkeypatch.setattr(suffix_levels, "PART", part)
     df = spark.createDataFrame(passages, "doc_id long, text string").repartition(5)
     assert found(suffix_levels.query(df)) == brute(passages)
 
