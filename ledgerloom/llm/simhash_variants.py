@@ -11,10 +11,10 @@ quarters, then two eighths, again with one bit left out. After that 53 bits are
 most 2,048 different fingerprints, so no bucket grows with the data and no link is lost. Buckets give
 the links of a spanning tree, not all their pairs; components need no more.
 
-`near_copies` finds texts that share most of their shingles, not just nearly all. Three fingerprints of other seeds
-make 192 bits, and the share of bits that differ estimates the similarity of the shingle sets; pairs whose
-distance is within a standard deviation of that of a similarity of `SIMILARITY`, or nearer, are linked. They are indexed the same way in nine segments with one
-bit left out each. A key that more than `BUCKET` texts share is cut into blocks, and pairs of blocks are compared as
+`near_copies` finds texts that share most of their shingles, not just nearly all. Its fingerprint has
+250 bits, and the share of bits that differ estimates the similarity of the shingle sets; pairs whose
+distance is within a standard deviation of that of a similarity of `SIMILARITY`, or nearer, are linked. They are indexed the same way in ten segments of 25 bits with one
+bit left out each; 2^24 values for a key keep chance meetings few for tens of millions of different texts. A key that more than `BUCKET` texts share is cut into blocks, and pairs of blocks are compared as
 separate groups, so no pair that shares a key is left out.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of
@@ -35,18 +35,17 @@ from ledgerloom.llm.common import NO_ID, components, row_id, stored
 SEED = 42
 BITS = 3
 BUCKET = 1024
-ALL = 2**64 - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Shingles that are hashed at once, to keep memory bounded on very long texts.
 CHUNK = 1 << 18
-#: Similarity of the shingle sets (shared over all) from which `near_copies` links, and its number of fingerprints.
+#: Similarity of the shingle sets (shared over all) from which `near_copies` links.
 SIMILARITY = 0.8
-WIDTH = 3
-#: First bit and width of the segments of each of them.
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
+#: Its bits are kept in longs of two segments each.
+WIDTH = 5
+SEGMENT = 25
 
 
-def fingerprint(text: str | None, words: int, seed: int = SEED) -> int:
+def fingerprint(text: str | None, words: int) -> int:
     """The 64-bit fingerprint of one whole text."""
     parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not parts:
@@ -60,7 +59,7 @@ def fingerprint(text: str | None, words: int, seed: int = SEED) -> int:
     digest = xxhash.xxh64_intdigest
     for k in range(0, n, CHUNK):
         hashes = np.array(
-            [digest(joined[i:j], seed) for i, j in zip(first[k : k + CHUNK], last[k : k + CHUNK])],
+            [digest(joined[i:j], SEED) for i, j in zip(first[k : k + CHUNK], last[k : k + CHUNK])],
             dtype="<u8",
         )
         bytes_ = hashes.view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
@@ -127,16 +126,21 @@ def distance(many: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 def spanning(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links that connect the fingerprints of one bucket as all pairs within `bits` would."""
+    """Links that connect the fingerprints of one bucket as all pairs within `bits` would.
+
+    All members of a component hang on its first one, so that the buckets of a group that share
+    most of their members give the same few links.
+    """
     left, links = np.arange(1, len(fps)), []
-    queue = [0]
+    first, queue = 0, [0]
     while len(left):
         if not queue:
-            queue.append(int(left[0]))
+            first = int(left[0])
+            queue.append(first)
             left = left[1:]
         at = queue.pop()
         near = distance(fps[left], fps[at]) <= bits
-        links += [(at, int(x)) for x in left[near]]
+        links += [(first, int(x)) for x in left[near]]
         queue += left[near].tolist()
         left = left[~near]
     return links
@@ -163,7 +167,7 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
             near = np.bitwise_count(values[two] ^ values[two + 1]) <= bits
             out = [np.stack([values[two[near]], values[two[near] + 1]], 1)]
             for i in np.flatnonzero(size > 2):
-                own = values[at[i] : at[i + 1]]
+                own = np.sort(values[at[i] : at[i + 1]])
                 pairs = spanning(own, bits)
                 if pairs:
                     out.append(own[np.array(pairs)])
@@ -199,15 +203,38 @@ def query(docs: DataFrame) -> DataFrame:
     )
 
 
+def wide_fingerprint(text: str | None, words: int) -> np.ndarray:
+    """`WIDTH` longs of two segments each, from two 128-bit hashes of each shingle of the whole text."""
+    parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+    if not parts:
+        return np.zeros(WIDTH, np.uint64)
+    joined = b" ".join(parts)
+    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    n = max(1, len(parts) - words + 1)
+    first, last = starts[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
+    counts = np.zeros(32 * 256, np.int64)
+    digest = xxhash.xxh3_128_digest
+    for k in range(0, n, CHUNK):
+        shingles = [joined[i:j] for i, j in zip(first[k : k + CHUNK], last[k : k + CHUNK])]
+        for half in (0, 1):
+            raw = np.frombuffer(b"".join([digest(x, SEED + half) for x in shingles]), np.uint8)
+            at = raw.reshape(-1, 16) + np.arange(half * 16 * 256, (half + 1) * 16 * 256, 256)
+            counts += np.bincount(at.ravel(), minlength=32 * 256)
+    ones = counts.reshape(32, 256) @ np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
+    found = (ones.ravel() * 2 > n)[: WIDTH * 2 * SEGMENT].reshape(WIDTH, 2 * SEGMENT)
+    bits = np.zeros((WIDTH, 64), np.uint8)
+    bits[:, : 2 * SEGMENT] = found
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
+
+
 def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(id, f) of every row; f holds `WIDTH` fingerprints."""
+    """(id, f) of every row; f holds the bits of `wide_fingerprint`."""
 
     def batches(found):
         for batch in found:
-            rows = [
-                [fingerprint(x, words, SEED + i) for i in range(WIDTH)] for x in batch.column(1).to_pylist()
-            ]
-            fps = np.array(rows, np.uint64).reshape(-1).view(np.int64)
+            rows = [wide_fingerprint(x, words) for x in batch.column(1).to_pylist()]
+            fps = (np.concatenate(rows) if rows else np.zeros(0, np.uint64)).view(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(0, len(fps) + 1, WIDTH, dtype=np.int32), pa.array(fps))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "f"])
 
@@ -218,12 +245,13 @@ def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
 def wide_bits(similarity: float) -> int:
     """Differing bits of all fingerprints that sets of this similarity have, plus one standard deviation."""
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(64 * WIDTH * share + np.sqrt(64 * WIDTH * share * (1 - share)))
+    n = 2 * SEGMENT * WIDTH
+    return int(n * share + np.sqrt(n * share * (1 - share)))
 
 
 def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links among nodes (node, f) that connect all linked ones that share a key."""
-    masks = [m for start, size in SEGMENTS for m in one_wildcard(start, size)]
+    masks = [m for start in (0, SEGMENT) for m in one_wildcard(start, SEGMENT)]
     keys = [
         F.xxhash64(F.lit(i), F.lit(signed(m)), F.get("f", F.lit(i)).bitwiseAND(F.lit(signed(m))))
         for i in range(WIDTH)
@@ -251,9 +279,10 @@ def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
             near = np.bitwise_count(f[two] ^ f[two + 1]).sum(1) <= bits
             out = [np.stack([node[two[near]], node[two[near] + 1]], 1)]
             for i in np.flatnonzero(size > 2):
-                pairs = spanning(f[at[i] : at[i + 1]], bits)
+                order = at[i] + np.argsort(node[at[i] : at[i + 1]])
+                pairs = spanning(f[order], bits)
                 if pairs:
-                    out.append(node[at[i] : at[i + 1]][np.array(pairs)])
+                    out.append(node[order][np.array(pairs)])
             pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
