@@ -11,11 +11,14 @@ quarters, then two eighths, again with one bit left out. After that 53 bits are
 most 2,048 different fingerprints, so no bucket grows with the data and no link is lost. Buckets give
 the links of a spanning tree, not all their pairs; components need no more.
 
-`near_copies` finds texts that share most of their shingles, not just nearly all. Its fingerprint has
-250 bits, and the share of bits that differ estimates the similarity of the shingle sets; pairs whose
-distance is within a standard deviation of that of a similarity of `SIMILARITY`, or nearer, are linked. They are indexed the same way in ten segments of 25 bits with one
-bit left out each; 2^24 values for a key keep chance meetings few for tens of millions of different texts. A key that more than `BUCKET` texts share is cut into blocks, and pairs of blocks are compared as
-separate groups, so no pair that shares a key is left out.
+`near_copies` finds all texts whose sets of shingles have a similarity (shared over all) of `SIMILARITY` or
+more. Texts of equal sets are one node. Two sets that are similar share one of the first fifth of their shingles
+in any common order, so an equality join on those prefixes leaves no pair out; common shingles come last in
+the order. Large groups are linked first, at little cost, by a fingerprint of 250 bits in ten segments of 25
+bits with one bit left out each; the join of prefixes then compares only texts that are not linked yet.
+Pairs of the prefixes are verified on the whole sets.
+Equality is that of 64-bit hashes. A key that more than `BUCKET` texts share is cut into blocks, and pairs of
+blocks are compared as separate groups.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of
 fewer words than a shingle is one shingle; rows with equal doc_id are one document; a null doc_id
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NO_ID, components, row_id, stored
+from ledgerloom.llm.common import NO_ID, components, dropped, row_id, stored
 
 SEED = 42
 BITS = 3
@@ -43,6 +46,12 @@ SIMILARITY = 0.8
 #: Its bits are kept in longs of two segments each.
 WIDTH = 5
 SEGMENT = 25
+#: Documents that are sampled for common shingles, the least count of one in the sample, and how many are kept.
+SAMPLE = 20_000
+COMMON = 4
+COMMON_KEPT = 50_000
+#: Bits of the filter that spares hashing the texts of documents without a candidate.
+FILTER = 1 << 20
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -203,29 +212,52 @@ def query(docs: DataFrame) -> DataFrame:
     )
 
 
-def wide_fingerprint(text: str | None, words: int) -> np.ndarray:
-    """`WIDTH` longs of two segments each, from two 128-bit hashes of each shingle of the whole text."""
+def digests(text: str | None, words: int):
+    """Two 128-bit hashes of each shingle of the whole text, 32 bytes a row, in chunks."""
     parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not parts:
-        return np.zeros(WIDTH, np.uint64)
+        return
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(parts) - words + 1)
     first, last = starts[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
-    counts = np.zeros(32 * 256, np.int64)
     digest = xxhash.xxh3_128_digest
     for k in range(0, n, CHUNK):
         shingles = [joined[i:j] for i, j in zip(first[k : k + CHUNK], last[k : k + CHUNK])]
-        for half in (0, 1):
-            raw = np.frombuffer(b"".join([digest(x, SEED + half) for x in shingles]), np.uint8)
-            at = raw.reshape(-1, 16) + np.arange(half * 16 * 256, (half + 1) * 16 * 256, 256)
-            counts += np.bincount(at.ravel(), minlength=32 * 256)
+        halves = [b"".join([digest(x, SEED + half) for x in shingles]) for half in (0, 1)]
+        yield np.concatenate([np.frombuffer(raw, np.uint8).reshape(-1, 16) for raw in halves], axis=1)
+
+
+def wide_described(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """`WIDTH` longs of two segments each, and the sorted 64-bit hashes of the set of shingles."""
+    counts, n, own = np.zeros(32 * 256, np.int64), 0, []
+    for raw in digests(text, words):
+        n += len(raw)
+        own.append(np.unique(np.ascontiguousarray(raw[:, :8]).view("<u8").ravel()))
+        counts += np.bincount((raw + np.arange(0, 32 * 256, 256)).ravel(), minlength=32 * 256)
+    if not n:
+        return np.zeros(WIDTH, np.uint64), np.zeros(0, np.uint64)
     ones = counts.reshape(32, 256) @ np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
     found = (ones.ravel() * 2 > n)[: WIDTH * 2 * SEGMENT].reshape(WIDTH, 2 * SEGMENT)
     bits = np.zeros((WIDTH, 64), np.uint8)
     bits[:, : 2 * SEGMENT] = found
-    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
+    shingles = own[0] if len(own) == 1 else np.unique(np.concatenate(own))
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel(), shingles
+
+
+def wide_fingerprint(text: str | None, words: int) -> np.ndarray:
+    return wide_described(text, words)[0]
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The sorted set of hashes that `wide_described` gives, without the fingerprint."""
+    own = [np.unique(np.ascontiguousarray(raw[:, :8]).view("<u8").ravel()) for raw in digests(text, words)]
+    return np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
+
+
+def node_of(shingles: np.ndarray) -> int:
+    return signed(xxhash.xxh3_64_intdigest(shingles.tobytes(), SEED))
 
 
 def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
@@ -249,6 +281,21 @@ def wide_bits(similarity: float) -> int:
     return int(n * share + np.sqrt(n * share * (1 - share)))
 
 
+def grouped(rows: DataFrame, nodes: DataFrame, bucket: int) -> DataFrame:
+    """(own): the members of each key of rows (node, key, n), n the size of the key, with the columns of nodes.
+
+    A larger key is cut into blocks and each pair of blocks is a group of its own.
+    """
+    blocks = F.ceil(F.col("n") / bucket).cast("int")
+    cut = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    full = cut.join(nodes, "node")
+    groups = full.groupBy("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    columns = [c for c in full.columns if c not in ("key", "n", "block", "other")]
+    return groups.agg(F.collect_list(F.struct(*columns)).alias("own")).select("own")
+
+
 def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links among nodes (node, f) that connect all linked ones that share a key."""
     masks = [m for start in (0, SEGMENT) for m in one_wildcard(start, SEGMENT)]
@@ -259,13 +306,7 @@ def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     ]
     spread = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = shared(nodes.repartition(spread).select("node", F.explode(F.array(*keys)).alias("key")))
-    blocks = F.ceil(F.col("n") / bucket).cast("int")
-    cut = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
-    )
-    full = cut.join(nodes.select("node", "f"), "node")
-    groups = full.groupBy("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    lists = groups.agg(F.collect_list(F.struct("node", "f")).alias("own")).select("own")
+    lists = grouped(rows, nodes.select("node", "f"), bucket)
 
     def batches(found):
         for batch in found:
@@ -289,14 +330,167 @@ def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     return lists.mapInArrow(batches, "a long, b long")
 
 
+def least_shared(sizes, similarity: float):
+    """Shingles that two sets of these sizes together share at least when they are similar."""
+    return np.ceil(sizes * (similarity / (1 + similarity)) - 1e-9).astype(np.int64)
+
+
+def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several sampled documents, sorted, and how many; they only set the order of the prefixes."""
+    share = max(1, docs.count() // SAMPLE)
+
+    def batches(found):
+        for batch in found:
+            sets = [shingle_set(x, words) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], names=["s"])
+
+    text = F.col("text").cast("string")
+    picked = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    counts = picked.mapInArrow(batches, "s long").groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    rows = sorted((r["s"] % 2**64, r["n"]) for r in counts.orderBy(F.desc("n"), "s").limit(COMMON_KEPT).collect())
+    return np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64)
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles end in each of 256 bytes, at most 255."""
+    return np.minimum(np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(id, node, size, f, sketch, keys) of every row; rows of equal shingle sets have the same node.
+
+    keys is the prefix of the set: in one order of all shingles, similar sets share one of their first
+    size - ceil(similarity * size) + 1. Common shingles come last in that order.
+    """
+    common, often = common_shingles(docs, words)
+
+    def one(text):
+        f, shingles = wide_described(text, words)
+        n = len(shingles)
+        keys = shingles
+        if n and len(common):
+            at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+            keys = shingles[np.lexsort((shingles, np.where(common[at] == shingles, often[at], 0)))]
+        keys = keys[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
+        return node_of(shingles), n, f.view(np.int64), sketch(shingles), keys.view(np.int64)
+
+    def batches(found):
+        for batch in found:
+            rows = [one(x) for x in batch.column(1).to_pylist()]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            names = ["id", "node", "size", "f", "sketch", "keys"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+
+    rows = docs.select(row_id().alias("id"), F.col("text").cast("string"))
+    return rows.mapInArrow(batches, "id long, node long, size long, f array<long>, sketch binary, keys array<long>")
+
+
+def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): all pairs of nodes (node, size, root) of other roots that rows (node, key, at) leave possible."""
+    own = rows.join(nodes, "node").select("node", "key", "at", "size", "root")
+    sizes = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = sizes.where("lo < hi").select("key", "n")
+    lists = grouped(rows.join(several, "key"), nodes, bucket)
+
+    def batches(found):
+        for batch in found:
+            own = batch.column(0)
+            flat = own.flatten()
+            node, at, size, root = (
+                flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "at", "size", "root")
+            )
+            ends = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy())))
+            lengths, out = np.diff(ends), []
+
+            def possible(x, y):
+                most = np.minimum(size[x] - at[x], size[y] - at[y])
+                ok = (root[x] != root[y]) & (most >= least_shared(size[x] + size[y], similarity))
+                pairs = np.stack([node[x[ok]], node[y[ok]]], 1)
+                if len(pairs):
+                    out.append(np.sort(pairs, axis=1))
+
+            two = ends[:-1][lengths == 2]
+            possible(two, two + 1)
+            for i in np.flatnonzero(lengths > 2):
+                x, y = np.triu_indices(lengths[i], 1)
+                possible(ends[i] + x, ends[i] + y)
+            pairs = np.unique(np.concatenate([*out, np.zeros((0, 2), np.int64)]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return lists.mapInArrow(batches, "a long, b long").distinct()
+
+
+def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes (node, first, size, sketch) whose shingle sets are similar, by the sets."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("sketch").alias(f"{c}_sketch"))
+
+    def near(found):
+        for batch in found:
+            a, b, m, x, n, y = (batch.column(c) for c in ("a", "b", "a_size", "a_sketch", "b_size", "b_sketch"))
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for c in (x, y))
+            both = m.to_numpy() + n.to_numpy()
+            ok = pa.array(np.abs(x - y).sum(1) <= both - 2 * least_shared(both, similarity))
+            yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], names=["a", "b"])
+
+    left = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(near, "a long, b long"))
+    ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    needed = stored(nodes.select("node", "first").join(ends, "node"))
+    # a row of another document that falls on a set bit costs time only; the join below drops it
+    bit = F.pmod(F.xxhash64("first"), F.lit(FILTER)).cast("int").alias("bit")
+    told = np.zeros(FILTER, bool)
+    told[[r["bit"] for r in needed.select(bit).distinct().collect()]] = True
+    told = np.packbits(told)
+
+    def sets(found):
+        for batch in found:
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((told[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+            own = [shingle_set(x, words) for x in batch.column(1).to_pylist()]
+            columns = [pa.array([node_of(x) for x in own], pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["first", "node", "own"])
+
+    rows = docs.select(row_id().alias("first"), F.col("text").cast("string").alias("text"), bit)
+    found = rows.mapInArrow(sets, "first long, node long, own array<long>").join(needed, ["node", "first"])
+    own = stored(found.groupBy("node").agg(F.any_value("own").alias("own")))
+
+    def compare(found):
+        for batch in found:
+            rows = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            ok = []
+            for x, y in rows:
+                shared_ = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(shared_ >= similarity * (len(x) + len(y) - shared_) - 1e-9)
+            ok = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
+
+    first = left.join(own.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
+    full = first.join(own.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
+    return full.mapInArrow(compare, "a long, b long")
+
+
+def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component): the smallest id reachable by links between similar texts, for every row."""
-    rows = stored(wide_fingerprints(docs, words).select("id", "f", F.xxhash64("f").alias("node")))
-    nodes = stored(rows.groupBy("node").agg(F.min("id").alias("first"), F.any_value("f").alias("f")))
-    roots = components(wide_links(nodes, wide_bits(similarity)))
-    named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    of = named.join(smallest, "root").select("node", "component")
+    found = stored(described(docs, words, similarity))
+    picked = [F.any_value(c).alias(c) for c in ("size", "f", "sketch", "keys")]
+    nodes = stored(found.groupBy("node").agg(F.min("id").alias("first"), *picked))
+    rows = stored(found.select("id", "node"))
+    dropped(found)
+    keys = nodes.select("node", F.posexplode("keys").alias("at", "key"))
+    prefixes = stored(shared(keys.repartition("key")).select("node", "key", "at"))
+    # a set that shares no key of its prefix has no near copy
+    live = nodes.join(prefixes.select("node").distinct(), "node", "left_semi")
+    simple = stored(wide_links(live, wide_bits(similarity)))
+    named = stored(rooted(nodes.select("node", "size"), simple))
+    more = prefix_pairs(prefixes, named, similarity)
+    links_ = simple.union(similar(more, nodes, docs, words, similarity))
+    roots = rooted(nodes.select("node", "first"), links_)
+    smallest = roots.groupBy("root").agg(F.min("first").alias("component"))
+    of = roots.join(smallest, "root").select("node", "component")
     return rows.join(of, "node").select("id", "component")
 
 
