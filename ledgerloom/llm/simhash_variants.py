@@ -16,7 +16,7 @@ more. Texts of equal sets are one node. Two sets that are similar share one of t
 in any common order, so an equality join on those prefixes leaves no pair out; common shingles come last in
 the order. Large groups are linked first, at little cost, by a fingerprint of 250 bits in ten segments of 25
 bits with one bit left out each; the join of prefixes then compares only texts that are not linked yet.
-Pairs of the prefixes are verified on the whole sets.
+Every link of both kinds is verified on the whole sets.
 Equality is that of 64-bit hashes. A key that more than `BUCKET` texts share is cut into blocks, and pairs of
 blocks are compared as separate groups.
 
@@ -484,7 +484,8 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY)
     prefixes = stored(shared(keys.repartition("key")).select("node", "key", "at"))
     # a set that shares no key of its prefix has no near copy
     live = nodes.join(prefixes.select("node").distinct(), "node", "left_semi")
-    simple = stored(wide_links(live, wide_bits(similarity)))
+    first = wide_links(live, wide_bits(similarity)).distinct()
+    simple = stored(similar(first, nodes, docs, words, similarity))
     named = stored(rooted(nodes.select("node", "size"), simple))
     more = prefix_pairs(prefixes, named, similarity)
     links_ = simple.union(similar(more, nodes, docs, words, similarity))

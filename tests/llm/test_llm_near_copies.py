@@ -74,3 +74,14 @@ def test_blocks_of_a_large_key(spark):
     for bucket in (1024, 3):
         pairs = simhash.prefix_pairs(keys, nodes, 0.8, bucket).collect()
         assert want <= {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in pairs}
+
+
+def test_links_below_the_limit_do_not_count(spark):
+    """Texts of a similarity of 0.70 to 0.79 stay apart, however near their fingerprints are."""
+    draw, rows = random.Random(75), []
+    for i in range(0, 200, 2):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(changed(words, set(range(7, 395, 38)))))]
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.7 < len(a & b) / len(a | b) < 0.79
+    assert found(spark, rows) == {i: i for i, _ in rows}
