@@ -2,17 +2,17 @@
 
 Credentials that the three base patterns find serve as labelled examples. Their character classes feed a
 prefix tree per kind; states whose end and next-class frequencies agree within the Hoeffding bound are
-merged, which gives a probabilistic automaton of the kind's format. Every other token that could be a
-credential is scored by its mean log likelihood per character under the automata; tokens at least as likely as
-nearly all labelled examples become spans of kind `format`.
+merged, which gives a probabilistic automaton of the kind's format. Every other token of at least the shortest
+labelled length is scored by its mean log likelihood per character under the automata; tokens at least as
+likely as nearly all labelled examples become spans of kind `format`.
 
 One pass over the whole texts finds base spans and candidates; what it stores of a candidate is its span and its
 classes, not its characters. Automata are fitted on the driver from at most `SAMPLE` examples per
 kind, picked by hash.
 
 Defined cases: null text is empty; without labelled examples there are no automata and only base spans;
-overlapping base spans of different kinds all stay, a candidate that overlaps one is not scored. Offsets are
-code points. Repeated rows each give a row. Other columns pass through `redact` unchanged.
+overlapping base spans of different kinds all stay; a candidate that lies in one is not scored, one that holds or
+partly overlaps one is. Offsets are code points. Repeated rows each give a row. Other columns pass through `redact` unchanged.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex")
 LEAST_ASSIGN = 12
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{18,}")
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{LEAST_ASSIGN},}}")
 CLASSES = str.maketrans(
     {
         **{chr(c): "d" for c in range(48, 58)},
@@ -69,13 +69,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Tokens that mix letters and digits and overlap no base span."""
-    out = []
+    """Tokens of the shortest labelled length or more that do not lie in a base span."""
+    out, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
-        token, start, end = m[0], *m.span()
-        if re.search("[0-9]", token) and re.search("[A-Za-z]", token):
-            if all(end <= s or start >= e for _, s, e in base):
-                out.append((start, end))
+        start, end = m.span()
+        while at < len(base) and base[at][1] <= start:
+            reach = max(reach, base[at][2])
+            at += 1
+        if end > reach:
+            out.append((start, end))
     return out
 
 
