@@ -140,9 +140,52 @@ FROM told
 """
 
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    code = f"hex(encode({text}))"
+    pairs = f"list_transform(range(0, length({code}) // 2), lambda i: ('0x' || substring({code}, 2 * i + 1, 2))::BIGINT)"
+    bits = "list_reduce(range(0, 8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(c, b))"
+    return f"xor(list_reduce({pairs}, lambda c, b: {bits}, 4294967295), 4294967295)"
+
+
+TRUNCATION_PEELING = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+                         sha256(length(role) || ':' || role || text)) AS path,
+           {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
+    FROM turns GROUP BY conv_id),
+rebuilt AS (
+    SELECT o.conv_id, list_concat(coalesce(b.path[1:o.h], []), o.path[o.h + 1:]) AS path
+    FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+prefixes AS (
+    SELECT conv_id, path[1:d] AS path, d, len(path) = d AS ends
+    FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT path, d, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, d),
+children AS (
+    SELECT path[1:d - 1] AS path, d - 1 AS d, COUNT(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+measured AS (
+    SELECT nodes.*, coalesce(n, 0) AS n_children,
+           CASE WHEN d > 0 THEN (n_convs - 1) * length(path[d].text) ELSE 0 END AS saved
+    FROM nodes LEFT JOIN children USING (path, d)),
+under AS (
+    SELECT path[1:k] AS path, k AS d, SUM(CAST(n_children = 0 AS BIGINT)) AS n_leaves, SUM(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM measured) GROUP BY ALL)
+SELECT m.conv_id, m.d AS depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM measured m JOIN under u USING (path, d) LEFT JOIN nodes p ON p.d = m.d - 1 AND p.path = m.path[1:m.d - 1]
+"""
+
+
 SQL = {
     "op1_suffix_levels": SUFFIX_LEVELS,
     "op2_url_cascade": _url_cascade(),
     "op5_projection_forest": PROJECTION_FOREST,
     "op8_quality_rules": _quality_rules(),
+    "op13_truncation_peeling": TRUNCATION_PEELING,
 }

@@ -13,6 +13,7 @@ from ledgerloom.llm import (
     simhash_variants,
     suffix_levels,
     temperature_mixing,
+    truncation_peeling,
     url_cascade,
 )
 
@@ -61,6 +62,10 @@ def op10_sentence_pieces(spark, folder):
     return sentence_pieces.query(_table(spark, folder, "documents"))
 
 
+def op13_truncation_peeling(spark, folder):
+    return truncation_peeling.query(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -74,6 +79,7 @@ QUERIES = {
         op8_quality_rules,
         op9_language_centroids,
         op10_sentence_pieces,
+        op13_truncation_peeling,
     )
 }
 

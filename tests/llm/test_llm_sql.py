@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_matches_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "pages", "embeddings", "labels"):
+    for name in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     expected = con.execute(entry_points.oracle_sql()[key]).to_arrow_table()
     assert difference(entry_points.queries()[key](spark, FOLDER).toArrow(), expected) is None
