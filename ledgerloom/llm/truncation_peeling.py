@@ -8,7 +8,9 @@ subtree are complete in the same step, so nothing is walked twice and no prefix
 A path is the row of its turns' items, each the SHA-256 of role and text and the length of the text, so a node's
 parent is a shorter piece of the same value. Each depth is one aggregate on the path with map-side sums: a first
 turn that a third of all conversations share is merged before the shuffle. Every depth is stored in the shared
-folder, so there are as many steps as the longest conversation has turns, and a path takes 40 bytes a turn.
+folder. The end of a path that no other distinct path shares holds one node a turn with known sums; it is laid out at
+once, from the least power of two of turns that the path has for itself, so there are at most twice as many steps as
+the longest shared beginning has turns, however long a conversation is. A path takes 40 bytes a turn.
 
 The digest of the conversations that end at a node is a hash over all their ids in order. Ids are joined to text in
 blocks of neighbouring ids by many tasks; only a node with several blocks is streamed, block by block, through one
@@ -22,6 +24,7 @@ turns; an empty table has no nodes, not even a root. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -121,17 +124,50 @@ def ended(found: DataFrame) -> DataFrame:
     )
 
 
+def depth_of(path: str) -> Column:
+    return (F.length(path) / ITEM).cast("int")
+
+
+def code_points(path: str, turn: Column) -> Column:
+    """Code points of the text of a turn (from 1)."""
+    return F.conv(F.hex(F.substring(F.col(path), turn * ITEM - 7, F.lit(8))), 16, 10).cast("long")
+
+
+def private_from(ends: DataFrame) -> DataFrame:
+    """(conv_id, top): the least power of two from which on no other distinct path has the path's first turns."""
+    powers = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.shiftleft(F.lit(1), i))
+    tops = F.filter(powers, lambda p: p <= depth_of("path"))
+    keyed = ends.select("conv_id", "path", F.explode(tops).alias("top"))
+    key = F.struct("top", F.unhex(F.sha2(cut("path", F.lit(0), F.col("top")), 256)).alias("sha"))
+    owners = keyed.groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min("conv_id").alias("conv_id"))
+    return owners.where("n = 1").groupBy("conv_id").agg(F.min("key.top").alias("top"))
+
+
 def trie(found: DataFrame) -> DataFrame:
     """The nodes of the prefix trie of (conv_id, path), one row each, with the columns of the contract."""
-    ends = ended(found)
-    depth = (F.length("path") / ITEM).cast("long")
-    deepest = ends.agg(F.max(depth)).first()[0]
+    distinct = ended(found)
+    ends = stored(distinct.join(private_from(distinct), "conv_id", "left").withColumn("length", depth_of("path")))
+    top = F.least(F.coalesce("top", "length"), F.col("length"))
+    after = F.when(F.col("length") > F.col("top"), F.sequence(F.col("top") + 1, F.col("length")))
+    # what a private end below `top` leaves of saved tokens; nothing unless several conversations are equal
+    rest = F.when(
+        F.col("n_convs") > 1,
+        (F.col("n_convs") - 1)
+        * F.aggregate(after, F.lit(0).cast("long"), lambda total, i: total + code_points("path", i)),
+    )
     nothing = F.lit(0).cast("long")
-    new = ends.select(
-        "path", "conv_id", "n_convs", "ends_sha256", *[nothing.alias(c) for c in ("children", "leaves", "saved")]
+    has_end = F.col("length") > F.col("top")
+    new = stored(
+        ends.withColumn("top", top).select(
+            cut("path", F.lit(0), F.col("top")).alias("path"), "conv_id", "n_convs",
+            F.when(~has_end, F.col("ends_sha256")).alias("ends_sha256"),
+            F.when(has_end, F.lit(1)).otherwise(0).cast("long").alias("children"),
+            F.when(has_end, F.lit(1)).otherwise(0).cast("long").alias("leaves"),
+            F.coalesce(rest, nothing).alias("saved"),
+        )
     )
-    last = F.conv(F.hex(F.substring("path", -8, 8)), 16, 10).cast("long")
     levels, below = [], None
+    deepest = new.agg(F.max(depth_of("path"))).first()[0]
     for d in range(deepest if deepest is not None else -1, -1, -1):
         here = new.where(F.length("path") == d * ITEM)
         if below is not None:
@@ -147,7 +183,7 @@ def trie(found: DataFrame) -> DataFrame:
             F.sum("children").alias("n_children"), F.sum("leaves").alias("leaves"),
             F.sum("saved").alias("saved"), F.max("ends_sha256").alias("ends_sha256"),
         )
-        own = (F.col("n_convs") - 1) * last if d else nothing
+        own = (F.col("n_convs") - 1) * code_points("path", F.lit(d)) if d else nothing
         below = stored(
             merged.select(
                 "path", "conv_id", F.lit(d).cast("long").alias("depth"), "n_convs", "n_children",
@@ -156,13 +192,8 @@ def trie(found: DataFrame) -> DataFrame:
             )
         )
         levels.append(below)
-    if not levels:
-        return ends.select(
-            "conv_id", depth.alias("depth"), F.col("conv_id").alias("parent_conv_id"), "n_convs",
-            *[nothing.alias(c) for c in ("n_children", "n_leaves", "saved_tokens")], "ends_sha256",
-        )
-    # the root is one row and may have very many children: its id is a literal, the others meet on the path
-    root = levels[-1].first()["conv_id"]
+    dropped(distinct)
+    dropped(new)
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
 
@@ -170,14 +201,30 @@ def trie(found: DataFrame) -> DataFrame:
         of = nodes.withColumn("parent_conv_id", parent.cast("long"))
         return of.select(*columns, F.coalesce("ends_sha256", empty).alias("ends_sha256"))
 
-    out = named(levels[-1], F.lit(None))
+    k, length = F.col("k"), F.col("length")
+    tails = ends.withColumn("top", top).where(has_end).withColumn("k", F.explode(after)).select(
+        "conv_id", k.cast("long").alias("depth"), F.col("conv_id").alias("parent"), "n_convs",
+        F.when(k < length, F.lit(1)).otherwise(0).cast("long").alias("n_children"),
+        F.lit(1).cast("long").alias("n_leaves"),
+        F.when(F.col("n_convs") == 1, nothing).otherwise(
+            (F.col("n_convs") - 1)
+            * F.aggregate(F.sequence(k, length), F.lit(0).cast("long"), lambda total, i: total + code_points("path", i))
+        ).alias("saved_tokens"),
+        F.when(k == length, F.col("ends_sha256")).alias("ends_sha256"),
+    )
+    out = named(tails, F.col("parent"))
+    if not levels:
+        return out
+    # the root is one row and may have very many children: its id is a literal, the others meet on the path
+    root = levels[-1].first()["conv_id"]
+    out = out.union(named(levels[-1], F.lit(None)))
     if len(levels) > 1:
         out = out.union(named(levels[-2], F.lit(root)))
-    for nodes, above in zip(levels[:-2], levels[1:-1]):
+    if len(levels) > 2:
+        below, above = (reduce(DataFrame.union, part) for part in (levels[:-2], levels[1:-1]))
         parents = above.where("n_children > 0").select(F.col("path").alias("up"), F.col("conv_id").alias("of"))
-        joined = nodes.join(parents, cut("path", F.lit(0), F.lit(1) * (F.col("depth").cast("int") - 1)) == F.col("up"))
-        out = out.union(named(joined, F.col("of")))
-    dropped(ends)
+        parent = cut("path", F.lit(0), F.col("depth").cast("int") - 1)
+        out = out.union(named(below.join(parents, parent == F.col("up")), F.col("of")))
     return out
 
 

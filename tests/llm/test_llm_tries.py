@@ -57,7 +57,7 @@ def found(spark, rows, query=peeling.query):
 
 
 def test_shared_heads_and_endings(spark):
-    draw, rows = random.Random(13), []
+    draw, rows = random.Random(13), [(7 * c, t, "user", f"long {t} {c if t > 8 else 0}") for c in (200, 201, 202) for t in range(40)]
     for c in [*range(0, 40), *range(95, 130), 250, 401, 402, -3, -100]:
         for t in range(draw.randrange(1, 8)):
             rows.append((c, t, draw.choice(["user", "assistant"]), draw.choice(["a", "bé😀", ""])))
