@@ -135,7 +135,7 @@ def code_points(path: str, turn: Column) -> Column:
 
 def private_from(ends: DataFrame) -> DataFrame:
     """(conv_id, top): the least power of two from which on no other distinct path has the path's first turns."""
-    powers = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.shiftleft(F.lit(1), i))
+    powers = F.array(*[F.lit(1 << i) for i in range(31)])
     tops = F.filter(powers, lambda p: p <= depth_of("path"))
     keyed = ends.select("conv_id", "path", F.explode(tops).alias("top"))
     key = F.struct("top", F.unhex(F.sha2(cut("path", F.lit(0), F.col("top")), 256)).alias("sha"))
@@ -158,12 +158,12 @@ def trie(found: DataFrame) -> DataFrame:
     nothing = F.lit(0).cast("long")
     has_end = F.col("length") > F.col("top")
     new = stored(
-        ends.withColumn("top", top).select(
+        ends.withColumn("top", top).withColumn("saved", F.coalesce(rest, nothing)).select(
             cut("path", F.lit(0), F.col("top")).alias("path"), "conv_id", "n_convs",
             F.when(~has_end, F.col("ends_sha256")).alias("ends_sha256"),
             F.when(has_end, F.lit(1)).otherwise(0).cast("long").alias("children"),
             F.when(has_end, F.lit(1)).otherwise(0).cast("long").alias("leaves"),
-            F.coalesce(rest, nothing).alias("saved"),
+            "saved",
         )
     )
     levels, below = [], None
