@@ -12,6 +12,7 @@ from ledgerloom.llm import (
     sentence_pieces,
     simhash_variants,
     suffix_levels,
+    suffix_states,
     temperature_mixing,
     truncation_peeling,
     url_cascade,
@@ -62,6 +63,10 @@ def op10_sentence_pieces(spark, folder):
     return sentence_pieces.query(_table(spark, folder, "documents"))
 
 
+def op12_suffix_states(spark, folder):
+    return suffix_states.query(_table(spark, folder, "documents"))
+
+
 def op13_truncation_peeling(spark, folder):
     return truncation_peeling.query(_table(spark, folder, "conversations"))
 
@@ -79,6 +84,7 @@ QUERIES = {
         op8_quality_rules,
         op9_language_centroids,
         op10_sentence_pieces,
+        op12_suffix_states,
         op13_truncation_peeling,
     )
 }
