@@ -148,6 +148,44 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce({pairs}, lambda c, b: {bits}, 4294967295), 4294967295)"
 
 
+LETTER_TREES = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{url_cascade.UPPER}', '{url_cascade.LOWER}'),
+                                             '[A-Za-z\u00C0-\u00FF]+')) AS run
+    FROM documents),
+counted AS (
+    SELECT run, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h, k
+    FROM (SELECT doc_id, run, COUNT(*) AS k FROM runs WHERE length(run) >= 6 GROUP BY ALL)),
+results AS (
+    SELECT CASE WHEN h % 199 <> 0 THEN run
+           ELSE substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) END AS word, k
+    FROM counted),
+words AS (
+    SELECT word, CAST(SUM(k) AS BIGINT) AS n FROM results
+    WHERE length(word) >= 6 GROUP BY word HAVING SUM(k) >= 5),
+less AS (
+    SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM less a JOIN less b
+        ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+    UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS (
+    SELECT word, COUNT(*) AS n_near, MAX(n) AS most, MIN(other) FILTER (top) AS other
+    FROM (SELECT *, n = MAX(n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+told AS (
+    SELECT word, w.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN most >= 5 * w.n THEN other END AS form, CASE WHEN most >= 5 * w.n THEN most END AS form_n
+    FROM words w LEFT JOIN best USING (word)),
+chains AS (
+    SELECT word, word AS here, 0 AS steps FROM told
+    UNION ALL SELECT c.word, t.form, steps + 1 FROM chains c JOIN told t ON t.word = c.here WHERE t.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM told JOIN (SELECT word, arg_max(here, steps) AS root FROM chains GROUP BY word) USING (word)
+"""
+
+
 TRUNCATION_PEELING = f"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -187,5 +225,6 @@ SQL = {
     "op2_url_cascade": _url_cascade(),
     "op5_projection_forest": PROJECTION_FOREST,
     "op8_quality_rules": _quality_rules(),
+    "op11_letter_trees": LETTER_TREES,
     "op13_truncation_peeling": TRUNCATION_PEELING,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.llm import (
     checks,
     language_centroids,
+    letter_trees,
     line_blocks,
     projection_forest,
     quality_rules,
@@ -63,6 +64,10 @@ def op10_sentence_pieces(spark, folder):
     return sentence_pieces.query(_table(spark, folder, "documents"))
 
 
+def op11_letter_trees(spark, folder):
+    return letter_trees.query(_table(spark, folder, "documents"))
+
+
 def op12_suffix_states(spark, folder):
     return suffix_states.query(_table(spark, folder, "documents"))
 
@@ -84,6 +89,7 @@ QUERIES = {
         op8_quality_rules,
         op9_language_centroids,
         op10_sentence_pieces,
+        op11_letter_trees,
         op12_suffix_states,
         op13_truncation_peeling,
     )

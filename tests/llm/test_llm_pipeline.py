@@ -50,4 +50,4 @@ def test_odd_documents(spark):
 def test_registered():
     queries = entry_points.queries()
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries if k.startswith("op") and k[2:3].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in queries
+    assert numbers == list(range(1, 14)) and "pipeline" in queries
