@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import clickstream, delivery, loyalty, segments, subscriptions, weekly
+from . import across, clickstream, delivery, loyalty, segments, subscriptions, weekly
 
 SQL: dict[str, str] = {
     **loyalty.SQL, **delivery.SQL, **subscriptions.SQL,
     **weekly.SQL, **clickstream.SQL, **segments.SQL,
+    **across.SQL,
 }

@@ -13,14 +13,15 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import clickstream, delivery, loyalty, segments, subscriptions, weekly
+from .operators.ordered import PAGE
+from .plans import across, clickstream, delivery, loyalty, segments, subscriptions, weekly
 from .sources import clickstream as c_in
 from .sources import delivery as d_in
 from .sources import loyalty as r_in
 from .sources import segments as i_in
 from .sources import subscriptions as s_in
 from .sources import weekly as w_in
-from .sources.tables import declared
+from .sources.tables import declared, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -361,6 +362,42 @@ def _segments() -> dict[str, Query]:
     }
 
 
+def _across() -> dict[str, Query]:
+    def stored(function, *names: str, **options) -> Query:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return function(*[read_table(spark, folder, name) for name in names], **options)
+
+        return run
+
+    def with_promotions(function) -> Query:
+        return lambda spark, folder: function(
+            read_table(spark, folder, "events"), c_in.promotions(spark, folder)
+        )
+
+    def plan_as_of(spark: SparkSession, folder: str) -> DataFrame:
+        states = declared(s_in.subscriptions(spark, folder), "subscriptions")
+        return across.order_plan_as_of(read_table(spark, folder, "orders"), states)
+
+    def impact_by_each(spark: SparkSession, folder: str) -> DataFrame:
+        sales = declared(w_in.weekly_sales(spark, folder), "weekly_sales")
+        return across.impact_by_each(weekly.clean_weekly_sales(sales))
+
+    return {
+        "j08_promotion_totals": with_promotions(across.promotion_totals),
+        "j08_purchases_in_promotions": with_promotions(across.purchases_in_promotions),
+        "o04_order_plan_as_of": plan_as_of,
+        "n06_order_neighbours": stored(across.order_neighbours, "orders", page=PAGE),
+        "n03_order_ranks": stored(across.order_ranks, "orders"),
+        "o10_step_funnel": stored(across.step_funnel, "events", gap=None),
+        "o10_step_funnel_half_day": stored(across.step_funnel, "events", gap="'12' HOUR"),
+        "a04_customers_by_period": stored(across.customers_by_period, "orders"),
+        "o09_impact_by_each": impact_by_each,
+        "o14_order_month_runs": stored(across.order_month_runs, "orders"),
+        "o14_order_month_summary": stored(across.order_month_summary, "orders"),
+    }
+
+
 QUERIES: dict[str, Query] = {
-    **_loyalty(), **_delivery(), **_subscriptions(), **_weekly(), **_clickstream(), **_segments()
+    **_loyalty(), **_delivery(), **_subscriptions(), **_weekly(), **_clickstream(), **_segments(),
+    **_across(),
 }

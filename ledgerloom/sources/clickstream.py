@@ -86,3 +86,13 @@ def campaign_identifier(spark: SparkSession) -> DataFrame:
         for name, first, last in CAMPAIGNS
     )
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(campaign_name, start_date, end_date)")
+
+
+def promotions(spark: SparkSession, folder: str) -> DataFrame:
+    """One promotion per supplier; they last from one second to more than eight years."""
+    number = F.col("s_suppkey")
+    seconds = lambda n: F.make_dt_interval(secs=n.cast("decimal(18,6)"))
+    starts = F.lit("2024-01-01").cast("timestamp_ntz") + seconds(number * 7919 % 2_592_000)
+    lasts = F.pow(F.lit(2), number % 29).cast("long")
+    found = read_table(spark, folder, "supplier").select(number.alias("promotion_id"), starts.alias("starts"), lasts.alias("s"))
+    return found.select("promotion_id", "starts", (F.col("starts") + seconds(F.col("s"))).alias("ends"))
