@@ -15,14 +15,17 @@ the links of a spanning tree, not all their pairs; components need no more.
 more. Texts of equal sets are one node. Two sets that are similar share one of the first fifth of their shingles
 in any common order, so an equality join on those prefixes leaves no pair out; common shingles come last in
 the order. Large groups are linked first, at little cost, by a fingerprint of 250 bits in ten segments of 25
-bits with one bit left out each; the join of prefixes then compares only texts that are not linked yet.
-Every link of both kinds is verified on the whole sets.
+bits with one bit left out each. Then, in `ROUNDS` rounds, one text of each key is compared with all others of
+the key that are not linked to it yet, no more pairs than rows. Last, the join of prefixes compares all texts of a key
+that are still not linked, so nothing is left out; sizes, places and sketches rule a pair out before it is written.
+Every link of all kinds is verified on the whole sets.
 Equality is that of 64-bit hashes. A key that more than `BUCKET` texts share is cut into blocks, and pairs of
 blocks are compared as separate groups.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of
-fewer words than a shingle is one shingle; rows with equal doc_id are one document; a null doc_id
-takes part and has the smallest id. Other columns are ignored.
+fewer words than a shingle is one shingle; a null doc_id takes part and has the smallest id. Rows of one doc_id
+may have different texts: `keep_first` tells rows apart by doc_id and a 64-bit hash of the text, puts a null doc_id
+last and keeps one of equal rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +53,10 @@ SEGMENT = 25
 SAMPLE = 20_000
 COMMON = 4
 COMMON_KEPT = 50_000
+#: Bins of the sketch that the groups of a key carry, rounds of comparing with one node of each key, pairs held at once.
+BINS = 64
+ROUNDS = 3
+HELD_PAIRS = 200_000
 #: Bits of the filter that spares hashing the texts of documents without a candidate.
 FILTER = 1 << 20
 
@@ -351,13 +358,16 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     return np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64)
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    """How many shingles end in each of 256 bytes, at most 255."""
-    return np.minimum(np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+def sketch(shingles: np.ndarray, bins: int = 256) -> bytes:
+    """How many shingles end in the bits of each bin, at most 255."""
+    at = (shingles & np.uint64(bins - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=bins), 255).astype(np.uint8).tobytes()
 
 
 def described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(id, node, size, f, sketch, keys) of every row; rows of equal shingle sets have the same node.
+    """(id, h, node, size, f, sketch, small, keys) of every row; rows of equal shingle sets have the same node.
+
+    h is a hash of the text: rows of one id may have different texts.
 
     keys is the prefix of the set: in one order of all shingles, similar sets share one of their first
     size - ceil(similarity * size) + 1. Common shingles come last in that order.
@@ -372,51 +382,81 @@ def described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
             keys = shingles[np.lexsort((shingles, np.where(common[at] == shingles, often[at], 0)))]
         keys = keys[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
-        return node_of(shingles), n, f.view(np.int64), sketch(shingles), keys.view(np.int64)
+        return node_of(shingles), n, f.view(np.int64), sketch(shingles), sketch(shingles, BINS), keys.view(np.int64)
 
     def batches(found):
         for batch in found:
-            rows = [one(x) for x in batch.column(1).to_pylist()]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+            rows = [one(x) for x in batch.column(2).to_pylist()]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()))
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            names = ["id", "node", "size", "f", "sketch", "keys"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+            names = ["id", "h", "node", "size", "f", "sketch", "small", "keys"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=names)
 
-    rows = docs.select(row_id().alias("id"), F.col("text").cast("string"))
-    return rows.mapInArrow(batches, "id long, node long, size long, f array<long>, sketch binary, keys array<long>")
+    text = F.col("text").cast("string")
+    rows = docs.select(row_id().alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    columns = "id long, h long, node long, size long, f array<long>, sketch binary, small binary, keys array<long>"
+    return rows.mapInArrow(batches, columns)
+
+
+def open_keys(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (node, key, at) of keys whose nodes (node, size, root) have several roots, with size and root."""
+    own = rows.join(nodes.select("node", "size", "root"), "node")
+    roots = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    return own.join(roots.select("key"), "key").select("node", "key", "at", "size", "root")
+
+
+def hub_pairs(rows: DataFrame, similarity: float, round_: int) -> DataFrame:
+    """(a, b): of each key of rows (node, key, at, size, root) one node, the same in keys that share their nodes,
+    with all nodes of other roots that may be similar to it: no more pairs than rows."""
+    place = F.xxhash64("node", F.lit(round_))
+    hubs = rows.groupBy("key").agg(F.min(F.struct(place.alias("place"), "node", "at", "size", "root")).alias("hub"))
+    size, hub = F.col("size"), F.col("hub.size")
+    most = F.least(size - F.col("at"), hub - F.col("hub.at"))
+    least = F.ceil((size + hub) * (similarity / (1 + similarity)) - 1e-9)
+    met = rows.join(hubs, "key").where((F.col("root") != F.col("hub.root")) & (most >= least))
+    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
 def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): all pairs of nodes (node, size, root) of other roots that rows (node, key, at) leave possible."""
-    own = rows.join(nodes, "node").select("node", "key", "at", "size", "root")
-    sizes = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    several = sizes.where("lo < hi").select("key", "n")
-    lists = grouped(rows.join(several, "key"), nodes, bucket)
+    """(a, b): all pairs of nodes (node, size, root, perhaps small) of other roots that rows (node, key, at) leave possible.
+
+    Sizes, places in the prefix and the small sketches are compared inside a key, before a pair is written.
+    """
+    several = open_keys(rows, nodes).select("node", "key", "at")
+    sizes = several.groupBy("key").agg(F.count("*").alias("n"))
+    lists = grouped(several.join(sizes, "key"), nodes, bucket)
+    sketched = "small" in nodes.columns
 
     def batches(found):
+        def table(out):
+            pairs = np.unique(np.concatenate([*out, np.zeros((0, 2), np.int64)]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
         for batch in found:
             own = batch.column(0)
             flat = own.flatten()
             node, at, size, root = (
                 flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "at", "size", "root")
             )
+            if sketched:
+                small = np.frombuffer(b"".join(flat.field("small").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
             ends = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy())))
-            lengths, out = np.diff(ends), []
-
-            def possible(x, y):
-                most = np.minimum(size[x] - at[x], size[y] - at[y])
-                ok = (root[x] != root[y]) & (most >= least_shared(size[x] + size[y], similarity))
-                pairs = np.stack([node[x[ok]], node[y[ok]]], 1)
-                if len(pairs):
-                    out.append(np.sort(pairs, axis=1))
-
-            two = ends[:-1][lengths == 2]
-            possible(two, two + 1)
-            for i in np.flatnonzero(lengths > 2):
-                x, y = np.triu_indices(lengths[i], 1)
-                possible(ends[i] + x, ends[i] + y)
-            pairs = np.unique(np.concatenate([*out, np.zeros((0, 2), np.int64)]), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            out, held = [], 0
+            for first, last in zip(ends[:-1], ends[1:]):
+                for x in range(first, last - 1):
+                    y = np.arange(x + 1, last)
+                    least = least_shared(size[x] + size[y], similarity)
+                    ok = (root[x] != root[y]) & (np.minimum(size[x] - at[x], size[y] - at[y]) >= least)
+                    y, least = y[ok], least[ok]
+                    if sketched and len(y):
+                        y = y[np.abs(small[x] - small[y]).sum(1) <= size[x] + size[y] - 2 * least]
+                    if len(y):
+                        out.append(np.sort(np.stack([np.full(len(y), node[x]), node[y]], 1), axis=1))
+                        held += len(y)
+                if held > HELD_PAIRS:
+                    yield table(out)
+                    out, held = [], 0
+            yield table(out)
 
     return lists.mapInArrow(batches, "a long, b long").distinct()
 
@@ -473,31 +513,52 @@ def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, component): the smallest id reachable by links between similar texts, for every row."""
+def near_groups(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(id, h, node) of every row and (node, root) of every node: nodes of one root are linked by similar texts."""
     found = stored(described(docs, words, similarity))
-    picked = [F.any_value(c).alias(c) for c in ("size", "f", "sketch", "keys")]
+    picked = [F.any_value(c).alias(c) for c in ("size", "f", "sketch", "small", "keys")]
     nodes = stored(found.groupBy("node").agg(F.min("id").alias("first"), *picked))
-    rows = stored(found.select("id", "node"))
+    rows = stored(found.select("id", "h", "node"))
     dropped(found)
     keys = nodes.select("node", F.posexplode("keys").alias("at", "key"))
     prefixes = stored(shared(keys.repartition("key")).select("node", "key", "at"))
     # a set that shares no key of its prefix has no near copy
     live = nodes.join(prefixes.select("node").distinct(), "node", "left_semi")
-    first = wide_links(live, wide_bits(similarity)).distinct()
-    simple = stored(similar(first, nodes, docs, words, similarity))
-    named = stored(rooted(nodes.select("node", "size"), simple))
+    links_ = stored(similar(wide_links(live, wide_bits(similarity)).distinct(), nodes, docs, words, similarity))
+    named = stored(rooted(nodes.select("node", "size", "small"), links_))
+    for round_ in range(ROUNDS):
+        rest = stored(open_keys(prefixes, named))
+        pairs = stored(hub_pairs(rest, similarity, round_))
+        prefixes = rest.select("node", "key", "at")
+        if pairs.isEmpty():
+            break
+        links_ = stored(links_.union(similar(pairs, nodes, docs, words, similarity)))
+        named = stored(rooted(nodes.select("node", "size", "small"), links_))
     more = prefix_pairs(prefixes, named, similarity)
-    links_ = simple.union(similar(more, nodes, docs, words, similarity))
-    roots = rooted(nodes.select("node", "first"), links_)
-    smallest = roots.groupBy("root").agg(F.min("first").alias("component"))
-    of = roots.join(smallest, "root").select("node", "component")
-    return rows.join(of, "node").select("id", "component")
+    links_ = links_.union(similar(more, nodes, docs, words, similarity))
+    return rows, rooted(nodes.select("node"), links_)
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, component): the smallest id reachable by links between similar texts, for every row."""
+    rows, roots = near_groups(docs, words, similarity)
+    of = stored(rows.join(roots, "node").select("id", "root"))
+    smallest = of.groupBy("root").agg(F.min("id").alias("component"))
+    return of.join(smallest, "root").select("id", "component")
 
 
 def keep_first(docs: DataFrame, words: int = 5) -> DataFrame:
-    """One document of each group of similar texts stays: the one with the smallest doc_id."""
-    found = near_copies(docs, words)
-    gone = found.where("id != component").select("id").distinct()
-    rows = docs.select(row_id().alias("id"), F.struct("*").alias("doc"))
-    return rows.join(gone, "id", "left_anti").select("doc.*")
+    """One row of each group of similar texts stays: the one with the smallest doc_id (null last; of several texts
+    with that doc_id the one of the smallest hash). Of rows that are equal in doc_id and text any one stays."""
+    rows, roots = near_groups(docs, words, SIMILARITY)
+    own = rows.groupBy("id", "h", "node").agg(F.count("*").alias("n"))
+    place = F.struct((F.col("id") == NO_ID).alias("none"), "id", "h")
+    of = stored(own.join(roots, "node").select("id", "h", "n", "root", place.alias("place")))
+    best = of.groupBy("root").agg(F.min("place").alias("best"))
+    told = of.join(best, "root").withColumn("stays", F.col("place") == F.col("best"))
+    # rows that go, and those of which one of several stays
+    gone = stored(told.where("NOT stays OR n > 1").select("id", "h", "stays"))
+    full = docs.select(row_id().alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.struct("*").alias("doc"))
+    once = full.join(gone, ["id", "h"], "left_anti").select("doc.*")
+    copies = full.join(gone.where("stays"), ["id", "h"]).groupBy("id", "h").agg(F.any_value("doc").alias("doc"))
+    return once.union(copies.select("doc.*"))
