@@ -15,7 +15,7 @@ the links of a spanning tree, not all their pairs; components need no more.
 more. Texts of equal sets are one node. Two sets that are similar share one of the first fifth of their shingles
 in any common order, so an equality join on those prefixes leaves no pair out; common shingles come last in
 the order. Large groups are linked first, at little cost, by a fingerprint of 250 bits in ten segments of 25
-bits with one bit left out each. Then, in `ROUNDS` rounds, one text of each key is compared with all others of
+bits with one bit left out each. Then, in `ROUNDS` rounds (one), one text of each key is compared with all others of
 the key that are not linked to it yet, no more pairs than rows. Last, the join of prefixes compares all texts of a key
 that are still not linked, so nothing is left out; sizes, places and sketches rule a pair out before it is written.
 Every link of all kinds is verified on the whole sets.
@@ -55,7 +55,7 @@ COMMON = 4
 COMMON_KEPT = 50_000
 #: Bins of the sketch that the groups of a key carry, rounds of comparing with one node of each key, pairs held at once.
 BINS = 64
-ROUNDS = 3
+ROUNDS = 1
 HELD_PAIRS = 200_000
 #: Bits of the filter that spares hashing the texts of documents without a candidate.
 FILTER = 1 << 20
