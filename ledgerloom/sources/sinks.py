@@ -1,8 +1,10 @@
-"""Writing results: idempotent overwrite, append by position, one-row append."""
+"""Writing results: overwrite, append, appends that may be retried, changes of single partitions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +26,42 @@ def append_table(df: DataFrame, path: str, columns: list[str]) -> str:
     return path
 
 
+def _replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Write the rows beside the table and put them in place of their partitions once all are written."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)
+
+
+def append_batch(df: DataFrame, path: str, batch: str) -> str:
+    """Append a batch to a stored table that keeps each batch in a partition `batch_id` of its own.
+
+    A batch that is written again takes its own place, so a retried append doubles nothing, and a run that dies
+    leaves the table as it was.
+    """
+    _replace_partitions(df.withColumn("batch_id", F.lit(batch)), path, "batch_id")
+    return path
+
+
+def change_partitions(
+    spark: SparkSession, path: str, column: str, values: list, change: Callable[[DataFrame], DataFrame]
+) -> str:
+    """UPDATE or DELETE in a stored table: the rows of the given partitions become `change` of them.
+
+    Other partitions keep their files. A run that dies while it writes leaves the table as it was. `change` keeps
+    each row in its partition; a partition that it leaves empty is taken away last.
+    """
+    table = spark.read.parquet(path)
+    changed = change(table.where(F.col(column).isin(values))).select(*table.columns)
+    left = {r[0] for r in changed.select(column).distinct().collect()}
+    if not left <= set(values):
+        raise ValueError(f"rows move to partitions {sorted(left - set(values))}")
+    _replace_partitions(changed, path, column)
+    for value in set(values) - left:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return path
+
+
 def append_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
     """The table with literal rows added, columns by position."""
     return df.union(literal_rows(df, rows))
