@@ -95,6 +95,11 @@ SQL = {
         for kind in ("month", "quarter", "year")
     ),
     "o09_impact_by_each": with_inputs(weekly.INPUTS, _impacts()),
+    "o13_order_changes": """
+        SELECT o_orderkey, 'removed' AS change FROM orders WHERE o_orderkey % 97 = 5
+        UNION ALL SELECT -o_orderkey - 1, 'added' FROM orders WHERE o_orderkey % 89 = 4
+        UNION ALL SELECT o_orderkey, 'changed' FROM orders
+            WHERE o_orderkey % 97 <> 5 AND o_custkey % 11 = 3 AND o_orderstatus = 'O'""",
     "o14_order_month_runs": f"WITH {RUNS} SELECT * FROM runs",
     "o14_order_month_summary": f"""
         WITH {RUNS}

@@ -392,6 +392,7 @@ def _across() -> dict[str, Query]:
         "o10_step_funnel_half_day": stored(across.step_funnel, "events", gap="'12' HOUR"),
         "a04_customers_by_period": stored(across.customers_by_period, "orders"),
         "o09_impact_by_each": impact_by_each,
+        "o13_order_changes": stored(across.order_changes, "orders"),
         "o14_order_month_runs": stored(across.order_month_runs, "orders"),
         "o14_order_month_summary": stored(across.order_month_summary, "orders"),
     }

@@ -267,3 +267,23 @@ def test_one_expand_for_all_dimensions(spark):
     with settings(spark, NO_BROADCAST):
         plan = final_plan(QUERIES["o09_impact_by_each"](spark, FOLDER))
     assert len(re.findall(r"[- ]Expand ", plan)) == 1
+
+
+# Two tables
+
+
+def test_changes_between_tables(spark):
+    from ledgerloom.operators.reconcile import row_changes
+
+    draw = random.Random(2)
+    old = {i: (draw.choice([None, "x", "y"]), draw.choice([None, 1.5, 2.5])) for i in range(2000)}
+    new = {i: v for i, v in old.items() if i % 301}
+    new |= {i: ("z", None) for i in range(0, 2000, 407) if i in new} | {5000: (None, None), 17: (old[17][1] and "w", None)}
+    schema = "k long, a string, b double"
+    one, two = (spark.createDataFrame([(k, *v) for k, v in t.items()], schema) for t in (old, new))
+    want = {(k, "removed") for k in old if k not in new} | {(k, "added") for k in new if k not in old}
+    want |= {(k, "changed") for k in old if k in new and old[k] != new[k]}
+    for buckets in (1, 64, 4096):
+        assert sorted(rows(row_changes(one, two, ["k"], buckets))) == sorted(want)
+    assert rows(row_changes(one, one, ["k"])) == []
+    assert sorted(rows(row_changes(one.limit(0), two, ["k"]))) == sorted((k, "added") for k in new)
