@@ -528,6 +528,8 @@ def near_groups(docs: DataFrame, words: int, similarity: float) -> tuple[DataFra
     named = stored(rooted(nodes.select("node", "size", "small"), links_))
     for round_ in range(ROUNDS):
         rest = stored(open_keys(prefixes, named))
+        if rest.isEmpty():  # all that share a key are linked, so no pair is left to compare
+            return rows, named.select("node", "root")
         pairs = stored(hub_pairs(rest, similarity, round_))
         prefixes = rest.select("node", "key", "at")
         if pairs.isEmpty():
