@@ -43,21 +43,27 @@ def billing_schedule(
 
     Each step adds a month to the previous payment, so a day cut at a short month
     stays cut (31 Jan, 29 Feb, 29 Mar). The n-th payment is worked out from n: its month,
-    and the day cut to the shortest month since the start. Two years hold every month
-    length there is, so no more of them need a look.
+    and the day cut to the shortest month since the start. Only days after the 28th are ever cut; for
+    these the lengths of two years of months, which hold every length there is, are listed once per start.
     """
     limit = F.add_months(end, -1)
     steps = F.greatest(F.ceil(F.months_between(limit, start)).cast("int") + 1, F.lit(0))
     months = F.sequence(F.lit(0), F.when(repeats, steps).otherwise(F.lit(0)))
-    first = F.trunc(F.col("_start"), "MM")
+    first = F.trunc(start, "MM")
+    lengths = F.transform(
+        F.sequence(F.lit(0), F.lit(24)), lambda j: F.dayofmonth(F.last_day(F.add_months(first, j)))
+    )
+    late = F.when(F.dayofmonth(start) > 28, lengths)
 
     def payment(n: Column) -> Column:
-        passed = F.sequence(F.lit(0), F.least(n, F.lit(24)))
-        days = F.transform(passed, lambda j: F.dayofmonth(F.last_day(F.add_months(first, j))))
-        day = F.least(F.dayofmonth("_start"), F.array_min(days))
-        return F.date_add(F.add_months(first, n), day - 1)
+        shortest = F.array_min(F.slice("_lengths", 1, F.least(n, F.lit(24)) + 1))
+        day = F.least(F.dayofmonth("_start"), shortest)
+        cut = F.date_add(F.add_months(F.trunc("_start", "MM"), n), day - 1)
+        return F.when(F.col("_lengths").isNull(), F.add_months("_start", n)).otherwise(cut)
 
     n = F.col("_n")
-    due = df.select(*keys, start.alias("_start"), limit.alias("_limit"), F.explode(months).alias("_n"))
+    due = df.select(
+        *keys, start.alias("_start"), limit.alias("_limit"), late.alias("_lengths"), F.explode(months).alias("_n")
+    )
     due = due.filter((n == 0) | (payment(F.greatest(n - 1, F.lit(0))) < F.col("_limit")))
     return due.select(*keys, payment(n).alias(name))

@@ -1,4 +1,4 @@
-"""Writing results: overwrite, append, appends that may be retried, changes of single partitions."""
+"""Writing results: replace, append, appends that may be retried, changes of single partitions."""
 
 from __future__ import annotations
 
@@ -8,15 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    folder, files = _files(spark, path)
+    if not files.rename(folder, _files(spark, to)[0]):
+        raise OSError(f"{path} was not renamed to {to}")
+
+
 def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Overwrite a parquet table and return its path.
+    """Replace a parquet table, or make it, and return its path.
 
-    With partition columns the rows are first gathered by them, in pieces of
+    The rows are written beside the table, to `path.new`, which takes its place once they are whole. A run that dies
+    while it writes leaves the old table; one that dies between the two renames leaves it in `path.old`, from where
+    the next run takes it back. With partition columns the rows are first gathered by them, in pieces of
     bounded size, so a large partition is written by several tasks.
     """
+    spark, new, old = df.sparkSession, f"{path}.new", f"{path}.old"
+    (folder, files), (former, _) = _files(spark, path), _files(spark, old)
+    if files.exists(former) and not files.exists(folder):
+        _rename(spark, old, path)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(new)
+    files.delete(former, True)
+    if files.exists(folder):
+        _rename(spark, path, old)
+    _rename(spark, new, path)
+    files.delete(former, True)
     return path
 
 
@@ -57,8 +79,8 @@ def change_partitions(
         raise ValueError(f"rows move to partitions {sorted(left - set(values))}")
     _replace_partitions(changed, path, column)
     for value in set(values) - left:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _files(spark, f"{path}/{column}={value}")
+        files.delete(folder, True)
     return path
 
 

@@ -6,7 +6,7 @@ import pytest
 from conftest import sorted_rows
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.sinks import append_batch, change_partitions
+from ledgerloom.sources.sinks import append_batch, change_partitions, save_table
 
 DIES = F.raise_error
 
@@ -68,3 +68,32 @@ def test_a_batch_may_be_retried(spark, tmp_path):
         append_batch(first, path, "monday")
     found = spark.read.parquet(path)
     assert sorted_rows(found) == sorted([(i, i % 5, b) for i in range(50) for b in ("monday", "tuesday")], key=repr)
+
+
+@pytest.mark.parametrize("by", [None, ["part"]])
+def test_a_table_is_replaced_when_the_new_one_is_whole(spark, tmp_path, by):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(i, f"v{i}", i % 4) for i in range(100)], "id int, v string, part int")
+    save_table(first, path, by)
+    old, before = stored(spark, tmp_path / "t"), files(tmp_path / "t")
+    broken = first.repartition(8).withColumn("v", F.when(F.col("id") == 61, DIES(F.lit("dies"))).otherwise("new"))
+    with pytest.raises(Exception, match="dies"):
+        save_table(broken, path, by)
+    assert stored(spark, tmp_path / "t") == old and files(tmp_path / "t") == before
+    # the new table may be made from the old one
+    for n in (2, 3):
+        save_table(spark.read.parquet(path).withColumn("v", F.concat("v", F.lit("+"))), path, by)
+        assert {r[1].count("+") for r in stored(spark, tmp_path / "t")} == {n - 1}
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_run_that_dies_between_the_renames(spark, tmp_path):
+    path = tmp_path / "t"
+    save_table(spark.createDataFrame([(1, "a", 0)], "id int, v string, part int"), str(path))
+    path.rename(tmp_path / "t.old")
+    broken = spark.createDataFrame([(2, "b", 0)], "id int, v string, part int").withColumn("v", DIES(F.lit("dies")))
+    with pytest.raises(Exception, match="dies"):
+        save_table(broken, str(path))
+    assert stored(spark, path) == [(1, "a", 0)]
+    save_table(spark.createDataFrame([(3, "c", 0)], "id int, v string, part int"), str(path))
+    assert stored(spark, path) == [(3, "c", 0)] and [p.name for p in tmp_path.iterdir()] == ["t"]
