@@ -20,8 +20,10 @@ done, and a key with more than `SHARE` contested runs is split by the content of
 that repeats inside of a batch of rows is sent once), so one passage in a third of all documents is spread over
 tasks. Texts are shuffled once, by document.
 
-Defined cases: null text is empty; texts below `LENGTH` bytes keep all; a null id is smaller than all others; rows
-with equal id should have equal text and do not repeat each other. Matches never cross documents.
+Defined cases: null text is empty; texts below `LENGTH` bytes keep all; a null id is smaller than all others. A
+document is an id and a text, told apart by a 64-bit hash of the text: rows equal in both are one document and do not
+repeat each other; different texts of one id, or without an id, are documents of their own, in the order of
+their hashes. Matches never cross documents.
 """
 
 from __future__ import annotations
@@ -135,11 +137,11 @@ def sections(text: np.ndarray, ends: np.ndarray):
 
 
 def run_rows(texts: DataFrame) -> DataFrame:
-    """key, told, id, start, n, twice of every run."""
+    """key, told, id, h, start, n of every run; n is 1,000 more where a window may repeat inside."""
 
     def batches(found):
         for batch in parts(found, 1):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, hashes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             whole, whole_ends = texts_of(batch.column(1))
             for text, ends, shift in sections(whole, whole_ends):
                 begin, size, key, told, twice = runs(text, ends)
@@ -150,17 +152,18 @@ def run_rows(texts: DataFrame) -> DataFrame:
                         pa.array(key.view(np.int64)),
                         pa.array(told.view(np.int64)),
                         pa.array(ids[of]),
+                        pa.array(hashes[of]),
                         pa.array(start),
                         pa.array((size + 1000 * twice).astype(np.int32)),
                     ],
-                    names=["key", "told", "id", "start", "n"],
+                    names=["key", "told", "id", "h", "start", "n"],
                 )
 
-    return texts.mapInArrow(batches, "key long, told long, id long, start long, n int")
+    return texts.mapInArrow(batches, "key long, told long, id long, h long, start long, n int")
 
 
 def marked(rows: DataFrame) -> DataFrame:
-    """key, id, start, n, repeats of the runs that repeat another one or are contested."""
+    """key, id, h, start, n, repeats of the runs that repeat another one or are contested."""
 
     def batches(found):
         held = None  # the last first run of a text, as a batch of one row, and whether its key has had another
@@ -170,7 +173,7 @@ def marked(rows: DataFrame) -> DataFrame:
             lone = held is not None
             if lone:
                 batch = pa.Table.from_batches([held[0], batch]).combine_chunks().to_batches()[0]
-            key, told, id_, start, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            key, told, id_, h, start, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             new_key = np.concatenate(([True], key[1:] != key[:-1]))
             first = new_key | np.concatenate(([True], told[1:] != told[:-1]))
             at = np.flatnonzero(first)
@@ -184,25 +187,25 @@ def marked(rows: DataFrame) -> DataFrame:
             contested = at[:-1][more[:-1]]
             # the same place again is a repeated row, not a repeated text
             origin = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-            later = (id_ != id_[origin]) | (start != start[origin])
+            later = (id_ != id_[origin]) | (h != h[origin]) | (start != start[origin])
             yield from told_rows(batch, np.flatnonzero(later), True)
             yield from told_rows(batch, contested, False)
-        if held is not None and (held[1] or held[0].column(4)[0].as_py() > 1000):
+        if held is not None and (held[1] or held[0].column(5)[0].as_py() > 1000):
             yield from told_rows(held[0], np.array([0]), False)
 
-    dealt = rows.repartition("key").sortWithinPartitions("key", "told", "id", "start")
-    return dealt.mapInArrow(batches, "key long, id long, start long, n int, repeats boolean")
+    dealt = rows.repartition("key").sortWithinPartitions("key", "told", "id", "h", "start")
+    return dealt.mapInArrow(batches, "key long, id long, h long, start long, n int, repeats boolean")
 
 
 def told_rows(batch: pa.RecordBatch, at: np.ndarray, repeats: bool):
     if len(at):
         rows = batch.take(pa.array(at))
-        n = pa.array(rows.column(4).to_numpy(zero_copy_only=False) % 1000, pa.int32())
-        arrays = [rows.column(0), rows.column(2), rows.column(3), n, pa.array(np.full(len(at), repeats))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["key", "id", "start", "n", "repeats"])
+        n = pa.array(rows.column(5).to_numpy(zero_copy_only=False) % 1000, pa.int32())
+        arrays = [*(rows.column(i) for i in (0, 2, 3, 4)), n, pa.array(np.full(len(at), repeats))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["key", "id", "h", "start", "n", "repeats"])
 
 
-SLICES = "key long, shard int, id long, start long, n int, slice binary"
+SLICES = "key long, shard int, id long, h long, start long, n int, slice binary"
 
 
 def slices(texts: DataFrame, contested: DataFrame) -> DataFrame:
@@ -210,44 +213,44 @@ def slices(texts: DataFrame, contested: DataFrame) -> DataFrame:
     sizes = contested.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > SHARE)
     shards = F.coalesce(F.ceil(F.col("m") / SHARE), F.lit(0)).cast("int")
     told = contested.join(sizes, "key", "left").withColumn("shards", shards)
-    lists = told.groupBy("id").agg(F.collect_list(F.struct("key", "shards", "start", "n")).alias("own"))
+    lists = told.groupBy("id", "h").agg(F.collect_list(F.struct("key", "shards", "start", "n")).alias("own"))
 
     def batches(found):
         for batch in found:
             out, seen = [], {}
-            for id_, text, own in zip(*(batch.column(i) for i in range(3))):
-                id_, text = id_.as_py(), text.as_buffer().to_pybytes()
+            for id_, h, text, own in zip(*(batch.column(i) for i in range(4))):
+                id_, h, text = id_.as_py(), h.as_py(), text.as_buffer().to_pybytes()
                 for run in sorted(own.as_py(), key=lambda x: x["start"]):
                     key, shards, start, n = run["key"], run["shards"], run["start"], run["n"]
                     n = min(n, len(text) - LENGTH - start + 1)
                     if n < 1:
                         continue
                     if not shards:
-                        out.append((key, 0, id_, start, n, text[start : start + n + LENGTH - 1]))
+                        out.append((key, 0, id_, h, start, n, text[start : start + n + LENGTH - 1]))
                         continue
                     known = 0  # windows of the same content that this task has sent from an earlier place
                     for at in range(start, start + n):
                         window = text[at : at + LENGTH]
                         told = xxhash.xxh3_128_intdigest(window)
-                        if seen.get(told, (id_, at)) < (id_, at):
+                        if seen.get(told, (id_, h, at)) < (id_, h, at):
                             known += 1
                             continue
-                        seen[told] = (id_, at)
+                        seen[told] = (id_, h, at)
                         if known:
-                            out.append((key, 0, id_, at - known, known, None))
+                            out.append((key, 0, id_, h, at - known, known, None))
                             known = 0
-                        out.append((key, 1 + told % shards, id_, at, 1, window))
+                        out.append((key, 1 + told % shards, id_, h, at, 1, window))
                     if known:
-                        out.append((key, 0, id_, start + n - known, known, None))
+                        out.append((key, 0, id_, h, start + n - known, known, None))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 6, SLICE_TYPES)],
-                names=["key", "shard", "id", "start", "n", "slice"],
+                [pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 7, SLICE_TYPES)],
+                names=["key", "shard", "id", "h", "start", "n", "slice"],
             )
 
-    return texts.join(lists, "id").select("id", "text", "own").mapInArrow(batches, SLICES)
+    return texts.join(lists, ["id", "h"]).select("id", "h", "text", "own").mapInArrow(batches, SLICES)
 
 
-SLICE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+SLICE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
 
 class Levels:
@@ -286,50 +289,50 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ).view(f"S{LENGTH}").ravel(), n
 
 
-def repeated(rows: list[tuple]) -> list[tuple[int, int, int]]:
-    """(id, start, n) of the repeating windows among the slices of whole keys."""
+def repeated(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """(id, h, start, n) of the repeating windows among the slices of whole keys."""
     rows = sorted(set(rows))  # repeated rows of a table are one text
     index, out = Levels(), []
     for i in range(0, len(rows), BATCH):
         own = rows[i : i + BATCH]
-        suffixes, n = windows_of([x[2] for x in own])
+        suffixes, n = windows_of([x[3] for x in own])
         found = index.add(suffixes)
-        ids = np.repeat([x[0] for x in own], n)
+        ids, hashes = (np.repeat([x[i] for x in own], n) for i in (0, 1))
         at = np.arange(len(found)) - np.repeat(np.cumsum(n) - n, n)
-        place = np.repeat([x[1] for x in own], n) + at
+        place = np.repeat([x[2] for x in own], n) + at
         edge = found & ~np.concatenate(([False], found[:-1] & (at[1:] > 0)))
         begin = np.flatnonzero(edge)
         size = np.add.reduceat(found, begin) if len(begin) else begin
-        out += list(zip(ids[begin].tolist(), place[begin].tolist(), size.tolist()))
+        out += list(zip(*(x.tolist() for x in (ids[begin], hashes[begin], place[begin], size))))
     return out
 
 
 def indexed(found: DataFrame) -> DataFrame:
-    """id, start, n of the windows that an index family holds from an earlier place."""
+    """id, h, start, n of the windows that an index family holds from an earlier place."""
 
     def told(rows):
         return pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in (zip(*rows) if rows else [()] * 3)], names=["id", "start", "n"]
+            [pa.array(x, pa.int64()) for x in (zip(*rows) if rows else [()] * 4)], names=["id", "h", "start", "n"]
         )
 
     def batches(found_):
         own, last = [], None
         for batch in found_:
             known = []
-            for key, shard, id_, start, n, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, shard, id_, h, start, n, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if text is None:
-                    known.append((id_, start, n))
+                    known.append((id_, h, start, n))
                     continue
                 if (key, shard) != last and len(own) >= FAMILY:
                     yield told(repeated(own))
                     own = []
                 last = (key, shard)
-                own.append((id_, start, text))
+                own.append((id_, h, start, text))
             yield told(known)
         yield told(repeated(own))
 
     dealt = found.repartition("key", "shard").sortWithinPartitions("key", "shard")
-    return dealt.mapInArrow(batches, "id long, start long, n long")
+    return dealt.mapInArrow(batches, "id long, h long, start long, n long")
 
 
 def cut_spans(size: int, own: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -349,13 +352,12 @@ SPANS = "array<struct<start: long, end: long>>"
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """id, n_bytes, spans (removed byte ranges) and kept (the remaining bytes) of every row."""
-    texts = docs.select(
-        row_id().alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
-    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    texts = docs.select(row_id().alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
     marks = stored(marked(run_rows(texts)))
     within = indexed(slices(texts, marks.where("NOT repeats").drop("repeats")))
-    whole = marks.where("repeats").select("id", "start", F.col("n").cast("long"))
-    lists = whole.union(within).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("own"))
+    whole = marks.where("repeats").select("id", "h", "start", F.col("n").cast("long"))
+    lists = whole.union(within).groupBy("id", "h").agg(F.collect_list(F.struct("start", "n")).alias("own"))
 
     def batches(found):
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -371,7 +373,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
             arrays = [batch.column(0), pa.array(size, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "spans", "kept"])
 
-    return texts.join(lists, "id", "left").select("id", "text", "own").mapInArrow(
+    return texts.join(lists, ["id", "h"], "left").select("id", "text", "own").mapInArrow(
         batches, f"id long, n_bytes long, spans {SPANS}, kept binary"
     )
 

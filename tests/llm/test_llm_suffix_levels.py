@@ -76,6 +76,33 @@ def test_empty_clashing_and_repeated_rows(spark):
     assert out == [(False, 149), (False, 149), (True, 198)]
 
 
+def test_rows_of_one_id_and_without_one(spark, monkeypatch):
+    """Different texts of one id, or of none, are documents of their own, ordered by their hashes."""
+    draw = random.Random(8)
+
+    def noise(n):
+        return "".join(draw.choice("abcdefghijklmnop ") for _ in range(n))
+
+    shared = noise(160)
+    rows = [(i, noise(draw.randint(50, 400)) + shared * (k % 4 > 0) + noise(300)) for k, i in enumerate((None, None, None, 2, 2, 2, 5))]
+    rows += [(None, "a" * 400), (None, noise(500)), (2, noise(400)), (2, None), (None, ""), *rows[:2], rows[4]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = df.selectExpr("doc_id", "text", "xxhash64(cast(coalesce(text, '') AS binary)) AS h").distinct().collect()
+    order = sorted({(-1 if r["doc_id"] is None else r["doc_id"], r["h"], r["text"] or "") for r in hashes})
+    want = brute([(k, text) for k, (_, _, text) in enumerate(order)])
+    want = {(None if id_ < 0 else id_, *want[k]) for k, (id_, _, _) in enumerate(order)}
+    assert sum(x[2] > 0 for x in want) > 4
+    for share in (512, 2):
+        monkeypatch.setattr(suffix_levels, "SHARE", share)
+        out = suffix_levels.query(df).collect()
+        assert len(out) == len(rows)
+        assert {(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out} == want
+    # a clean text keeps all of its bytes, whatever other texts of its id lose
+    clean = [(None, "x" * 400), (None, noise(400)), (7, "yz" * 300), (7, noise(500))]
+    out = suffix_levels.query(spark.createDataFrame(clean, "doc_id long, text string")).collect()
+    assert sorted(r["n_removed"] for r in out) == [0, 0, 399, 598]
+
+
 def test_levels_merge_and_find():
     draw = random.Random(1)
     levels, seen = suffix_levels.Levels(), set()
