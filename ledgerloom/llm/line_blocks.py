@@ -52,7 +52,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption"}
 #: Words of names for parts that are no article, of names that an article may have as well, of layout.
 NAMED = re.compile(
-    r"ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|menu\w*|nav\w*|breadcrumbs?|sidebar\w*|footer|header|masthead"
+    r"ads?|advert\w*|sponsor\w*|promo(?:s|t\w*)?|banner\w*|menu\w*|nav(?:s|bar|igation)?|breadcrumbs?|sidebar\w*|footer|header|masthead"
     r"|comments?|commentlist|replies|disqus|cookies?|consent|popup|modal|newsletter|toolbar|pagination|pager|copyright"
 )
 WEAK = re.compile(
