@@ -53,8 +53,8 @@ SEGMENT = 25
 SAMPLE = 20_000
 COMMON = 4
 COMMON_KEPT = 50_000
-#: Bins of the sketch that the groups of a key carry, rounds of comparing with one node of each key, pairs held at once.
-BINS = 64
+#: Bits of the sketch of a set, rounds of comparing with one node of each key, pairs held at once.
+SKETCH = 2048
 ROUNDS = 1
 HELD_PAIRS = 200_000
 #: Bits of the filter that spares hashing the texts of documents without a candidate.
@@ -358,14 +358,24 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     return np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64)
 
 
-def sketch(shingles: np.ndarray, bins: int = 256) -> bytes:
-    """How many shingles end in the bits of each bin, at most 255."""
-    at = (shingles & np.uint64(bins - 1)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=bins), 255).astype(np.uint8).tobytes()
+def sketch(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls on each bit: two sets differ in no fewer shingles than these bits."""
+    at = (shingles & np.uint64(SKETCH - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=SKETCH) & 1).tobytes()
+
+
+def sketches(column) -> np.ndarray:
+    """A row of longs for each sketch of an Arrow column."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+
+
+def most_apart(both: np.ndarray, similarity: float) -> np.ndarray:
+    """Shingles in which similar sets of these sizes together differ at most."""
+    return both - 2 * least_shared(both, similarity)
 
 
 def described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(id, h, node, size, f, sketch, small, keys) of every row; rows of equal shingle sets have the same node.
+    """(id, h, node, size, f, sketch, keys) of every row; rows of equal shingle sets have the same node.
 
     h is a hash of the text: rows of one id may have different texts.
 
@@ -382,19 +392,19 @@ def described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
             keys = shingles[np.lexsort((shingles, np.where(common[at] == shingles, often[at], 0)))]
         keys = keys[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
-        return node_of(shingles), n, f.view(np.int64), sketch(shingles), sketch(shingles, BINS), keys.view(np.int64)
+        return node_of(shingles), n, f.view(np.int64), sketch(shingles), keys.view(np.int64)
 
     def batches(found):
         for batch in found:
             rows = [one(x) for x in batch.column(2).to_pylist()]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            names = ["id", "h", "node", "size", "f", "sketch", "small", "keys"]
+            names = ["id", "h", "node", "size", "f", "sketch", "keys"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=names)
 
     text = F.col("text").cast("string")
     rows = docs.select(row_id().alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    columns = "id long, h long, node long, size long, f array<long>, sketch binary, small binary, keys array<long>"
+    columns = "id long, h long, node long, size long, f array<long>, sketch binary, keys array<long>"
     return rows.mapInArrow(batches, columns)
 
 
@@ -418,14 +428,14 @@ def hub_pairs(rows: DataFrame, similarity: float, round_: int) -> DataFrame:
 
 
 def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): all pairs of nodes (node, size, root, perhaps small) of other roots that rows (node, key, at) leave possible.
+    """(a, b): all pairs of nodes (node, size, root, perhaps sketch) of other roots that rows (node, key, at) leave possible.
 
-    Sizes, places in the prefix and the small sketches are compared inside a key, before a pair is written.
+    Sizes, places in the prefix and sketches are compared inside a key, before a pair is written.
     """
     several = open_keys(rows, nodes).select("node", "key", "at")
     sizes = several.groupBy("key").agg(F.count("*").alias("n"))
     lists = grouped(several.join(sizes, "key"), nodes, bucket)
-    sketched = "small" in nodes.columns
+    sketched = "sketch" in nodes.columns
 
     def batches(found):
         def table(out):
@@ -439,7 +449,7 @@ def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: i
                 flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "at", "size", "root")
             )
             if sketched:
-                small = np.frombuffer(b"".join(flat.field("small").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+                marks = sketches(flat.field("sketch"))
             ends = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy())))
             out, held = [], 0
             for first, last in zip(ends[:-1], ends[1:]):
@@ -447,9 +457,9 @@ def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: i
                     y = np.arange(x + 1, last)
                     least = least_shared(size[x] + size[y], similarity)
                     ok = (root[x] != root[y]) & (np.minimum(size[x] - at[x], size[y] - at[y]) >= least)
-                    y, least = y[ok], least[ok]
+                    y = y[ok]
                     if sketched and len(y):
-                        y = y[np.abs(small[x] - small[y]).sum(1) <= size[x] + size[y] - 2 * least]
+                        y = y[distance(marks[y], marks[x]) <= most_apart(size[x] + size[y], similarity)]
                     if len(y):
                         out.append(np.sort(np.stack([np.full(len(y), node[x]), node[y]], 1), axis=1))
                         held += len(y)
@@ -461,6 +471,12 @@ def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: i
     return lists.mapInArrow(batches, "a long, b long").distinct()
 
 
+def parts(column) -> list[np.ndarray]:
+    """The lists of an Arrow column of longs."""
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(column.flatten().to_numpy(), ends[:-1]) if len(ends) else []
+
+
 def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes (node, first, size, sketch) whose shingle sets are similar, by the sets."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("sketch").alias(f"{c}_sketch"))
@@ -468,9 +484,8 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sim
     def near(found):
         for batch in found:
             a, b, m, x, n, y = (batch.column(c) for c in ("a", "b", "a_size", "a_sketch", "b_size", "b_sketch"))
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for c in (x, y))
-            both = m.to_numpy() + n.to_numpy()
-            ok = pa.array(np.abs(x - y).sum(1) <= both - 2 * least_shared(both, similarity))
+            apart = distance(sketches(x), sketches(y))
+            ok = pa.array(apart <= most_apart(m.to_numpy() + n.to_numpy(), similarity))
             yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], names=["a", "b"])
 
     left = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(near, "a long, b long"))
@@ -478,14 +493,15 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sim
     needed = stored(nodes.select("node", "first").join(ends, "node"))
     # a row of another document that falls on a set bit costs time only; the join below drops it
     bit = F.pmod(F.xxhash64("first"), F.lit(FILTER)).cast("int").alias("bit")
-    told = np.zeros(FILTER, bool)
-    told[[r["bit"] for r in needed.select(bit).distinct().collect()]] = True
-    told = np.packbits(told)
+    mask = F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("mask")
+    told = np.zeros(FILTER // 64, np.int64)
+    for r in needed.select(bit).groupBy(F.expr("bit div 64").alias("word")).agg(mask).collect():
+        told[r["word"]] = r["mask"]
 
     def sets(found):
         for batch in found:
             at = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((told[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+            batch = batch.filter(pa.array((told[at >> 6] >> (at & 63) & 1).astype(bool)))
             own = [shingle_set(x, words) for x in batch.column(1).to_pylist()]
             columns = [pa.array([node_of(x) for x in own], pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["first", "node", "own"])
@@ -496,9 +512,8 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sim
 
     def compare(found):
         for batch in found:
-            rows = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
             ok = []
-            for x, y in rows:
+            for x, y in zip(parts(batch.column("x")), parts(batch.column("y"))):
                 shared_ = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(shared_ >= similarity * (len(x) + len(y) - shared_) - 1e-9)
             ok = pa.array(ok, pa.bool_())
@@ -516,7 +531,7 @@ def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """(id, h, node) of every row and (node, root) of every node: nodes of one root are linked by similar texts."""
     found = stored(described(docs, words, similarity))
-    picked = [F.any_value(c).alias(c) for c in ("size", "f", "sketch", "small", "keys")]
+    picked = [F.any_value(c).alias(c) for c in ("size", "f", "sketch", "keys")]
     nodes = stored(found.groupBy("node").agg(F.min("id").alias("first"), *picked))
     rows = stored(found.select("id", "h", "node"))
     dropped(found)
@@ -525,7 +540,7 @@ def near_groups(docs: DataFrame, words: int, similarity: float) -> tuple[DataFra
     # a set that shares no key of its prefix has no near copy
     live = nodes.join(prefixes.select("node").distinct(), "node", "left_semi")
     links_ = stored(similar(wide_links(live, wide_bits(similarity)).distinct(), nodes, docs, words, similarity))
-    named = stored(rooted(nodes.select("node", "size", "small"), links_))
+    named = stored(rooted(nodes.select("node", "size", "sketch"), links_))
     for round_ in range(ROUNDS):
         rest = stored(open_keys(prefixes, named))
         if rest.isEmpty():  # all that share a key are linked, so no pair is left to compare
@@ -535,7 +550,7 @@ def near_groups(docs: DataFrame, words: int, similarity: float) -> tuple[DataFra
         if pairs.isEmpty():
             break
         links_ = stored(links_.union(similar(pairs, nodes, docs, words, similarity)))
-        named = stored(rooted(nodes.select("node", "size", "small"), links_))
+        named = stored(rooted(nodes.select("node", "size", "sketch"), links_))
     more = prefix_pairs(prefixes, named, similarity)
     links_ = links_.union(similar(more, nodes, docs, words, similarity))
     return rows, rooted(nodes.select("node"), links_)
