@@ -57,6 +57,8 @@ COMMON_KEPT = 50_000
 SKETCH = 2048
 ROUNDS = 1
 HELD_PAIRS = 200_000
+#: Rows whose results a task holds at once.
+ROWS = 1000
 #: Bits of the filter that spares hashing the texts of documents without a candidate.
 FILTER = 1 << 20
 
@@ -392,10 +394,10 @@ def described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
             keys = shingles[np.lexsort((shingles, np.where(common[at] == shingles, often[at], 0)))]
         keys = keys[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
-        return node_of(shingles), n, f.view(np.int64), sketch(shingles), keys.view(np.int64)
+        return node_of(shingles), n, f.view(np.int64), sketch(shingles), keys.copy().view(np.int64)
 
     def batches(found):
-        for batch in found:
+        for batch in sliced(found):
             rows = [one(x) for x in batch.column(2).to_pylist()]
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
@@ -471,6 +473,13 @@ def prefix_pairs(rows: DataFrame, nodes: DataFrame, similarity: float, bucket: i
     return lists.mapInArrow(batches, "a long, b long").distinct()
 
 
+def sliced(found):
+    """The batches in slices of at most `ROWS` rows."""
+    for batch in found:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def parts(column) -> list[np.ndarray]:
     """The lists of an Arrow column of longs."""
     ends = np.cumsum(column.value_lengths().to_numpy())
@@ -499,7 +508,7 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sim
         told[r["word"]] = r["mask"]
 
     def sets(found):
-        for batch in found:
+        for batch in sliced(found):
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((told[at >> 6] >> (at & 63) & 1).astype(bool)))
             own = [shingle_set(x, words) for x in batch.column(1).to_pylist()]
@@ -511,7 +520,7 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sim
     own = stored(found.groupBy("node").agg(F.any_value("own").alias("own")))
 
     def compare(found):
-        for batch in found:
+        for batch in sliced(found):
             ok = []
             for x, y in zip(parts(batch.column("x")), parts(batch.column("y"))):
                 shared_ = len(np.intersect1d(x, y, assume_unique=True))
