@@ -37,7 +37,7 @@ BORDER = 0x10FFFF
 #: Chunks longer than this are merged one by one with a heap.
 LONG = 200
 #: Bytes of text whose chunks share a suffix array; a longer text has one of its own.
-PART = 6_000_000
+PART = 2_000_000
 
 
 @dataclass
