@@ -53,6 +53,40 @@ def test_intervals_of_any_length(spark, calendar):
     assert sorted_rows(sums) == sorted([(n, a, b, len(of[n]), sum(of[n])) for n, a, b in spans], key=repr)
 
 
+def test_crowded_cells_are_cut_into_tiles(spark, monkeypatch):
+    """One cell that all rows and intervals share is joined in tiles, each pair in one of them."""
+    monkeypatch.setattr(intervals, "TILE", 16)
+    at = spark.range(1000).selectExpr("id AS event", "struct(1 AS level, 7L AS cell) AS _cell")
+    at = at.union(spark.createDataFrame([(-1, (1, 8))], at.schema))
+    laid = spark.range(100).selectExpr("id AS name", "struct(1 AS level, 7L AS cell) AS _cell")
+    laid = laid.union(spark.createDataFrame([(-1, (1, 8))], laid.schema))
+    left, right = intervals.tiled(at, laid, ["_cell"], (["event"], ["name"]))
+    tile = ["_cell", "_at_part", "_laid_part"]
+    for side in (left, right):
+        sizes = [r["count"] for r in side.groupBy(*tile).count().collect()]
+        assert len(sizes) > 300 and max(sizes) < 64
+        assert side.select("_at_part").distinct().count() == 63 and side.select("_laid_part").distinct().count() == 7
+    pairs = rows(left.join(right, tile).select("event", "name"))
+    assert Counter(pairs) == Counter([(e, n) for e in range(1000) for n in range(100)] + [(-1, -1)])
+
+
+def test_pairs_of_one_span_are_made_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "TILE", 32)
+    rows_ = spark.range(4000).selectExpr("id AS event", "TIMESTAMP_NTZ'2024-01-01 12:00:00' + make_dt_interval(0, 0, 0, id) AS t")
+    table = spark.range(40).selectExpr(
+        "id AS name", "TIMESTAMP_NTZ'2023-01-01 00:00:00' AS a", "TIMESTAMP_NTZ'2025-01-01 00:00:00' AS b"
+    )
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        found = intervals.interval_join(rows_, table, "t", "a", "b")
+        by_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(merge, before)
+    assert sum(by_task) == 160_000 and max(by_task) < 80_000
+
+
 def test_intervals_with_a_key(spark, calendar):
     times, spans = calendar
     events = spark.createDataFrame([(e, t, e % 3) for e, t in times], "event long, t timestamp_ntz, k long")
