@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import int_div
+from ..session import small_partitions
 from .sharing import read_alike
 
 # Copies of one row that a task writes out at most.
@@ -65,6 +66,7 @@ def number_rows(
     where its copies start; only then are very many copies cut into pieces, which are dealt
     out so that several tasks write them.
     """
+    small_partitions(df.sparkSession)
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumns(block)
     placed = count_before(counted, keys, list(block), order, "_copies", "_start")

@@ -9,6 +9,7 @@ import pytest
 from conftest import moment, rows, sorted_rows
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.functions.dates import minute_part
 from ledgerloom.functions.text import clean_token, list_size, unit_number
 from ledgerloom.operators import positions
@@ -106,3 +107,19 @@ def test_sinks(spark, tmp_path):
     ratings = save_table(df, str(tmp_path / "r"))
     append_table(spark.createDataFrame([(2022, 3)], "a int, b int"), ratings, ["calendar_year", "v"])
     assert spark.read.parquet(ratings).count() == 3
+
+
+def test_numbering_asks_for_small_partitions(spark):
+    """A task that sorts and hashes 64 MB of compressed rows needs more than 1 GB; a size that was set stays."""
+    lines = spark.range(6).selectExpr("id % 2 AS k", "id AS v")
+    before = spark.conf.getAll.get(session.ADVISORY)
+    try:
+        for own, wanted in ((None, session.PARTITION_BYTES), ("32m", "32m")):
+            spark.conf.unset(session.ADVISORY) if own is None else spark.conf.set(session.ADVISORY, own)
+            numbered = positions.number_rows(lines, ["k"], {"_b": F.lit(0)}, ["v"])
+            assert spark.conf.get(session.ADVISORY) == wanted
+            assert sorted(tuple(r) for r in numbered.collect()) == [
+                (0, 0, 1), (0, 2, 2), (0, 4, 3), (1, 1, 1), (1, 3, 2), (1, 5, 3)
+            ]
+    finally:
+        spark.conf.unset(session.ADVISORY) if before is None else spark.conf.set(session.ADVISORY, before)
