@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -42,6 +44,8 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Tokens that are worked on at once, and different words or strings that a task holds at most.
 CHUNK = 1 << 20
 HELD = 1 << 20
+#: Texts whose words a task holds at once when it scores them.
+ROWS = 2000
 #: Bits of a token's number in a key; the number of the end.
 BITS = 21
 END = 0
@@ -67,14 +71,26 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Where each wanted key is among the sorted keys, -1 for none."""
     if not len(keys):
         return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+    # Looked up in their order, so that neighbours read the same part of the keys.
+    order = np.argsort(wanted)
+    ascending = wanted[order]
+    at = np.minimum(np.searchsorted(keys, ascending), len(keys) - 1)
+    out = np.empty(len(wanted), at.dtype)
+    out[order] = np.where(keys[at] == ascending, at, -1)
+    return out
+
 
+def numbered(row: list[bytes], number: dict[bytes, int]) -> np.ndarray:
+    """The numbers of a text's tokens between two ends, -1 for a word without one."""
+    tokens = np.full(len(row) + 2, END, np.int64)
+    tokens[1:-1] = np.fromiter(map(number.get, row, repeat(-1)), np.int64, len(row))
+    return tokens
 
-def pieces(rows: list[list[bytes]], number: dict[bytes, int]):
+
+def pieces(rows: Iterable[list[bytes]], number: dict[bytes, int]):
     """(text, numbers of tokens, first own token) of each text, cut where it is longer than `CHUNK`."""
     for i, row in enumerate(rows):
-        tokens = np.fromiter((END, *(number.get(w, -1) for w in row), END), np.int64, len(row) + 2)
+        tokens = numbered(row, number)
         for at in range(1, len(tokens), CHUNK):
             first = max(0, at - DEPTH)
             yield i, tokens[first : at + CHUNK], at - first
@@ -153,7 +169,7 @@ def count_longer(texts: DataFrame, words: list[bytes], keys: list[np.ndarray]) -
         number = {w: i for i, w in enumerate(names.split(b" "), 1)} if names else {}
         seen: list = []
         for batch in found:
-            rows = [words_of(x) for x in batch.column(0).to_pylist()]
+            rows = (words_of(x) for x in batch.column(0).to_pylist())
             for chunk in chunks(pieces(rows, number)):
                 tokens, place, own = placed(chunk)
                 numbers = strings_at(keys, tokens, place)
@@ -244,7 +260,7 @@ def scored(rows: DataFrame, tree: Tree) -> DataFrame:
 
     def batches(found):
         number = {w: i for i, w in enumerate(names.split(b" "), 1)} if names else {}
-        for batch in found:
+        for batch in (b.slice(at, ROWS) for b in found for at in range(0, b.num_rows, ROWS)):
             rows = [words_of(x) for x in batch.column(3).to_pylist()]
             known, base, score = (np.zeros(len(rows)) for _ in range(3))
             for chunk in chunks(pieces(rows, number)):

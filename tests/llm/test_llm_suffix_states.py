@@ -177,3 +177,19 @@ def test_extra_columns(spark):
     plain = lm.query(spark.createDataFrame(rows, SCHEMA), 1e-3).collect()
     wide = spark.createDataFrame([(*r, 1, "z", None) for r in rows], SCHEMA + ", at long, score string, rare int")
     assert sorted(map(tuple, lm.query(wide, 1e-3).collect())) == [pytest.approx(r) for r in sorted(map(tuple, plain))]
+
+
+def test_numbers_and_unordered_lookups():
+    assert lm.numbered([b"a", b"x", b"b"], {b"a": 1, b"b": 2}).tolist() == [lm.END, 1, -1, 2, lm.END]
+    assert lm.numbered([], {}).tolist() == [lm.END, lm.END]
+    keys = np.array([2, 3, 5, 7, 11])
+    assert lm.find(keys, np.array([11, 4, 2, 12, 2, 1, 7])).tolist() == [4, -1, 0, -1, 0, -1, 3]
+    assert lm.find(keys, np.array([], np.int64)).tolist() == [] and lm.find(keys[:0], keys).tolist() == [-1] * 5
+
+
+def test_scores_do_not_depend_on_the_texts_held(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{i * j % 7}" for j in range(i % 9)) + " x" * (i % 3)) for i in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    whole = sorted(map(repr, lm.query(df).collect()))
+    monkeypatch.setattr(lm, "ROWS", 3)
+    assert sorted(map(repr, lm.query(df).collect())) == whole and len(whole) == 40
