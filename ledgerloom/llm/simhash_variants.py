@@ -49,6 +49,8 @@ SIMILARITY = 0.8
 #: Its bits are kept in longs of two segments each.
 WIDTH = 5
 SEGMENT = 25
+#: Marks the key of a segment that gives all links of its nodes, not only those between its two values.
+WHOLE = 2
 #: Documents that are sampled for common shingles, the least count of one in the sample, and how many are kept.
 SAMPLE = 20_000
 COMMON = 4
@@ -305,8 +307,39 @@ def grouped(rows: DataFrame, nodes: DataFrame, bucket: int) -> DataFrame:
     return groups.agg(F.collect_list(F.struct(*columns)).alias("own")).select("own")
 
 
+def crossing(f: np.ndarray, side: np.ndarray, bits: int) -> np.ndarray:
+    """Links that connect the fingerprints of one bucket as all pairs would if those of each side are joined elsewhere.
+
+    They hang the smaller side, and those parts of the larger side that only the smaller one joins, on the first
+    of the larger side.
+    """
+
+    def firsts(own):
+        first = np.arange(len(own))
+        for a, b in spanning(own, bits):
+            first[b] = a
+        return first
+
+    larger, smaller = np.flatnonzero(side), np.flatnonzero(side == 0)
+    if len(larger) < len(smaller):
+        larger, smaller = smaller, larger
+    group = firsts(f)
+    groups, at = np.unique(group[larger], return_index=True)
+    ends = np.concatenate((smaller, larger[np.unique(firsts(f[larger]))]))
+    place = np.minimum(np.searchsorted(groups, group[ends]), len(groups) - 1)
+    first = larger[at[place]]
+    ok = (groups[place] == group[ends]) & (first != ends)
+    return np.stack([first[ok], ends[ok]], 1)
+
+
 def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): links among nodes (node, f) that connect all linked ones that share a key."""
+    """(a, b): links among nodes (node, f) that connect all linked ones that share a key.
+
+    A key leaves one bit of a segment out, so its nodes have one or two values of the segment. The first key of a
+    segment gives the links inside each value; the other keys give only those between their two values, and none
+    if all nodes have one. So a node is in few links, however many keys it shares. A key that more than `bucket`
+    nodes share is cut into blocks which all hold its first node; the prefixes find what that leaves apart.
+    """
     masks = [m for start in (0, SEGMENT) for m in one_wildcard(start, SEGMENT)]
     keys = [
         F.xxhash64(F.lit(i), F.lit(signed(m)), F.get("f", F.lit(i)).bitwiseAND(F.lit(signed(m))))
@@ -314,25 +347,39 @@ def wide_links(nodes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
         for m in masks
     ]
     spread = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = shared(nodes.repartition(spread).select("node", F.explode(F.array(*keys)).alias("key")))
-    lists = grouped(rows, nodes.select("node", "f"), bucket)
+    made = nodes.repartition(spread).select("node", "f", F.posexplode(F.array(*keys)).alias("at", "key"))
+    left_out = F.getbit(F.get("f", F.expr(f"at div {len(masks)}").cast("int")), F.col("at") % len(masks))
+    side = F.when(F.col("at") % SEGMENT == 0, F.lit(WHOLE)).otherwise(left_out).cast("byte").alias("side")
+    rows = made.select("node", "key", side).repartition("key")
+    measures = F.count("*").alias("n"), F.min("node").alias("hub"), F.min("side").alias("lo"), F.max("side").alias("hi")
+    sizes = rows.groupBy("key").agg(*measures).where((F.col("n") > 1) & ((F.col("lo") == WHOLE) | (F.col("lo") < F.col("hi"))))
+    blocks = F.ceil(F.col("n") / bucket).cast("int")
+    of = F.when(F.col("node") == F.col("hub"), F.sequence(F.lit(0), blocks - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    )
+    cut = rows.join(sizes, "key").select("key", "node", "side", F.explode(of).alias("block"))
+    own = F.collect_list(F.struct("node", "side", "f")).alias("own")
+    lists = cut.join(nodes.select("node", "f"), "node").groupBy("key", "block").agg(own).select("own")
 
     def batches(found):
         for batch in found:
             own = batch.column(0)
             rows = own.flatten()
             node = rows.field("node").to_numpy(zero_copy_only=False)
+            side = rows.field("side").to_numpy(zero_copy_only=False)
             f = rows.field("f").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WIDTH)
             at = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy())))
             size = np.diff(at)
             two = at[:-1][size == 2]
-            near = np.bitwise_count(f[two] ^ f[two + 1]).sum(1) <= bits
+            near = (np.bitwise_count(f[two] ^ f[two + 1]).sum(1) <= bits) & ((side[two] == WHOLE) | (side[two] != side[two + 1]))
             out = [np.stack([node[two[near]], node[two[near] + 1]], 1)]
             for i in np.flatnonzero(size > 2):
                 order = at[i] + np.argsort(node[at[i] : at[i + 1]])
-                pairs = spanning(f[order], bits)
-                if pairs:
-                    out.append(node[order][np.array(pairs)])
+                if side[order[0]] == WHOLE:
+                    pairs = np.array(spanning(f[order], bits), np.int64).reshape(-1, 2)
+                else:
+                    pairs = crossing(f[order], side[order], bits)
+                out.append(node[order][pairs])
             pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 

@@ -111,3 +111,39 @@ def test_edge_cases(spark):
     # with five words as with three: short texts are one shingle
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "6", "7", "7", "None"]
     assert simhash.query(df.limit(0)).count() == 0
+
+
+def wide_cloud(n, share, seed, first=0):
+    """(node, f): fingerprints around one centre, each bit changed with this probability."""
+    draw = random.Random(seed)
+    centre, rows = [draw.getrandbits(50) for _ in range(simhash.WIDTH)], []
+    for i in range(n):
+        f = [c ^ sum((draw.random() < share) << b for b in range(50)) for c in centre]
+        rows.append((first + i, f))
+    return rows
+
+
+def test_wide_links_connect_as_all_pairs_of_a_key(spark):
+    rows = [r for k, share in enumerate((0.02, 0.06, 0.1)) for r in wide_cloud(60, share, k, 60 * k)]
+    f = np.array([r[1] for r in rows], np.uint64)
+    top = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a + 1, len(rows)):
+            apart = f[a] ^ f[b]
+            low, high = (np.bitwise_count(apart & np.uint64(m)) for m in (2**25 - 1, 2**50 - 2**25))
+            if (low + high).sum() <= 43 and min(low.min(), high.min()) <= 1:
+                top = [min(top[a], top[b]) if t in (top[a], top[b]) else t for t in top]
+    assert 3 < len(set(top)) < 150
+    found = simhash.wide_links(spark.createDataFrame(rows, "node long, f array<long>"), 43).collect()
+    root = list(range(len(rows)))
+    for a, b in found:
+        root = [min(root[a], root[b]) if t in (root[a], root[b]) else t for t in root]
+    assert root == top
+
+
+def test_wide_links_grow_with_the_group(spark):
+    made = []
+    for n in (300, 1200):
+        nodes = spark.createDataFrame(wide_cloud(n, 0.03, 1), "node long, f array<long>")
+        made.append(simhash.wide_links(nodes, 43, bucket=64).count())
+    assert made[1] <= 6 * made[0]
