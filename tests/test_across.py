@@ -87,6 +87,48 @@ def test_pairs_of_one_span_are_made_by_several_tasks(spark, monkeypatch):
     assert sum(by_task) == 160_000 and max(by_task) < 80_000
 
 
+def sent(plan):
+    """Rows that the exchanges of a plan that has run have written."""
+    name, own = plan.nodeName(), plan.metrics()
+    if name.startswith(("AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage")):
+        below = [plan.executedPlan() if name.startswith("Adaptive") else plan.plan()]
+    else:
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+    return (own.apply("shuffleRecordsWritten").value() if name == "Exchange" else 0) + sum(map(sent, below))
+
+
+def test_rows_and_intervals_travel_few_times(spark):
+    """A row goes to one block, an interval to those it touches; neither is sent once for each level or pair."""
+    n, m = 20_000, 300
+    times = spark.range(n).selectExpr("id AS event", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 97.123457) AS t")
+    table = spark.range(m).selectExpr("id AS name", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 613) AS a")
+    table = table.selectExpr("*", "a + make_dt_interval(0, 0, 0, CAST(pow(2, name % 24) AS DECIMAL(18, 6))) AS b")
+    found = intervals.interval_join(times, table, "t", "a", "b")
+    pairs = len(found.collect())
+    assert pairs > 600_000
+    # Besides, each side is counted by block, and the intervals are spread over tasks, both twice.
+    assert sent(found._jdf.queryExecution().executedPlan()) < n + 257 * m + 30_000 < pairs // 4
+
+
+def test_blocks_pages_and_chunks_cut_anywhere(spark, monkeypatch):
+    """Half of the rows share one time, few times in all, long and short intervals that begin and end at rows."""
+    draw = random.Random(9)
+    at = [(i, NOON + timedelta(seconds=0 if i % 2 else draw.randrange(-40, 40)), i % 5) for i in range(600)]
+    spans = [(i, NOON + timedelta(seconds=draw.randrange(-50, 50)), timedelta(seconds=draw.choice([0, 0, 1, 2, 7, 60]))) for i in range(150)]
+    spans = [(i, a, a + n, "x" * (i % 3)) for i, a, n in spans] + [(-1, NOON - timedelta(9999), NOON + timedelta(9999), None)]
+    events = spark.createDataFrame(at, "event long, t timestamp_ntz, other long")
+    table = spark.createDataFrame(spans, "name long, a timestamp_ntz, b timestamp_ntz, note string")
+    want = Counter((e, x, note) for e, t, x in at for _, a, b, note in spans if a <= t <= b)
+    for tile, page, chunk in ((8, 4, 4), (8, 1, 3), (1 << 15, 1 << 6, 1 << 8)):
+        for name, value in (("TILE", tile), ("PAGE", page), ("CHUNK", chunk)):
+            monkeypatch.setattr(intervals, name, value)
+        found = intervals.interval_join(events, table, "t", "a", "b", columns=["event", "other", "note"])
+        assert found.columns == ["event", "other", "note"] and Counter(rows(found)) == want
+    every = intervals.interval_join(events, table, "t", "a", "b")
+    assert every.columns == ["event", "t", "other", "name", "a", "b", "note"] and every.count() == sum(want.values())
+    assert rows(intervals.interval_join(events.limit(0), table, "t", "a", "b")) == []
+
+
 def test_intervals_with_a_key(spark, calendar):
     times, spans = calendar
     events = spark.createDataFrame([(e, t, e % 3) for e, t in times], "event long, t timestamp_ntz, k long")
